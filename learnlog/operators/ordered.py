@@ -61,9 +61,10 @@ def split_heavy(
 
     The second is None where no user is heavy: the plan is then the plain one.
     """
-    heavy = materialize(heavy_users(log, limits), "heavy-users")
+    heavy = heavy_users(log, limits)
     if heavy.isEmpty():
         return log, None
+    heavy = materialize(heavy, "heavy-users")
     ordinary = log.join(F.broadcast(heavy), "user_id", "left_anti")
     sliced = log.join(F.broadcast(heavy), "user_id", "left_semi").withColumn(
         SLICE, F.floor(F.col("row_id") / F.lit(limits.slice_rows)).cast("long")

@@ -39,9 +39,11 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.select("column", "label", F.col("before_one").alias("code"))
 
 
-def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def label_encode(
+    df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None
+) -> DataFrame:
     """Replace each string column by the rank of its value among the distinct ones."""
-    codes = materialize(label_codes(df, columns), "labels")
+    codes = codes or materialize(label_codes(df, columns), "labels")
     for column in columns:
         own = codes.where(F.col("column") == column).select(
             F.col("label").alias(column), F.col("code").alias(f"_code_{column}")
@@ -101,8 +103,9 @@ def with_question_stats(questions: DataFrame, contents: DataFrame) -> DataFrame:
     written first and the join knows how small they are.
     """
     joined = with_content_stats(questions, contents)
-    parts = materialize(part_stats(joined), "parts")
-    bundles = materialize(bundle_stats(joined), "bundles")
+    rates = with_content_stats(questions.select("question_id", "part", "bundle_id"), contents)
+    parts = materialize(part_stats(rates), "parts")
+    bundles = materialize(bundle_stats(rates), "bundles")
     return joined.join(parts, "part", "left").join(bundles, "bundle_id", "left")
 
 
@@ -110,7 +113,9 @@ def question_features(
     questions: DataFrame, communities: DataFrame, contents: DataFrame
 ) -> DataFrame:
     """All question features, one row per question, keyed ``content_id``."""
-    rows = label_encode(tag_bands(questions).drop("tags"), schemas.TAG_COLUMNS)
+    rows = with_question_stats(join_communities(questions, communities), contents)
+    # Codes come from the bare question table: the joins add no label.
+    codes = materialize(label_codes(tag_bands(questions), schemas.TAG_COLUMNS), "labels")
+    rows = label_encode(tag_bands(rows).drop("tags"), schemas.TAG_COLUMNS, codes)
     rows = rows.withColumn("part_bundle_id", part_bundle_key(F.col("part"), F.col("bundle_id")))
-    rows = join_communities(rows, communities)
-    return with_question_stats(rows, contents).select(*schemas.QUESTION_COLUMNS)
+    return rows.select(*schemas.QUESTION_COLUMNS)

@@ -3,7 +3,7 @@
 INTERACTIONS = """
 interactions as (
   select event_id as row_id,
-    epoch_ms(ts) - 1704067200000 as timestamp,
+    epoch_us(ts) // 1000 - 1704067200000 as timestamp,
     user_id,
     cast(json_extract_string(props, '$.k') as bigint) as content_id,
     case when event_type = 'signup' then 1 else 0 end as content_type_id,

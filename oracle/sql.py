@@ -123,7 +123,7 @@ bands as (
   select question_id, %s
   from (select question_id, string_split(coalesce(tags, '188'), ' ') as t from questions))""" % (
     ",\n    ".join(
-        f"array_to_string(list_filter(t, x -> cast(x as int) >= {32 * b}"
+        f"array_to_string(list_filter(t, lambda x: cast(x as int) >= {32 * b}"
         f" and cast(x as int) < {32 * (b + 1)}), ' ') as tags{b}"
         for b in range(6)
     )
@@ -227,7 +227,7 @@ _CONTENTS = [*_FILLED, CONTENTS]
 _STATS = [*_CONTENTS, QUESTIONS, QUESTION_STATS]
 _FEATURES = [*_STATS, COMMUNITIES, TAGS, CODES, QUESTION_FEATURES]
 _HISTORY = [*_LAGGED, COUNTED, PRIOR, EXPLAINED, ATTEMPTS, CONTAINERS, HISTORY]
-_MATRIX = [*_HISTORY, *_FEATURES[len(_FILLED) :], ]
+_MATRIX = [*_HISTORY, *_FEATURES[len(_FILLED) :]]
 
 
 def _query(parts: list[str], body: str) -> str:
