@@ -1,58 +1,62 @@
-"""Column expressions used by the operators. All are built-in, none is a UDF."""
+"""SQL expressions shared by the operators. All are built-in, none is a UDF.
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Each function takes and returns the text of an expression: one text is one call
+into the JVM, however many functions it combines.
+"""
 
 from learnlog import schemas
 
 
-def to_hours(ms: Column) -> Column:
-    return ms / F.lit(schemas.MS_PER_HOUR)
+def hours(ms: str) -> str:
+    return f"(({ms}) / {schemas.MS_PER_HOUR})"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Division that is NULL, not an error, where the denominator is zero."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return f"try_divide(cast({numerator} as double), cast({denominator} as double))"
 
 
-def had_explanation(column: str = "prior_question_had_explanation") -> Column:
+def had_explanation(column: str = "prior_question_had_explanation") -> str:
     """The explanation flag as 0/1, missing counted as not seen."""
-    return F.coalesce(F.col(column).cast("int"), F.lit(0))
+    return f"coalesce(cast({column} as int), 0)"
 
 
-def is_answered() -> Column:
-    return F.col(schemas.TARGET) != schemas.NOT_APPLICABLE
+def is_answered() -> str:
+    return f"{schemas.TARGET} <> {schemas.NOT_APPLICABLE}"
 
 
-def is_lecture() -> Column:
-    return F.col("content_type_id") == 1
+def is_lecture() -> str:
+    return "content_type_id = 1"
 
 
-def part_bundle_key(part: Column, bundle_id: Column) -> Column:
-    return part.cast("long") * 100000 + bundle_id.cast("long")
+def part_bundle_key(part: str = "part", bundle_id: str = "bundle_id") -> str:
+    return f"(cast({part} as bigint) * 100000 + cast({bundle_id} as bigint))"
 
 
-def tag_band(tags: Column, band: int) -> Column:
+def filled_tags(tags: str = "tags") -> str:
+    return f"coalesce({tags}, '{schemas.MISSING_TAGS}')"
+
+
+def tag_band(tags: str, band: int) -> str:
     """Tags of one band of 32, in their order, duplicates kept, ``''`` if none."""
     low = band * schemas.TAG_BAND_WIDTH
     high = low + schemas.TAG_BAND_WIDTH - 1
-    inside = F.filter(F.split(tags, " "), lambda tag: tag.cast("int").between(low, high))
-    return F.array_join(inside, " ")
+    inside = f"filter(split({tags}, ' '), t -> cast(t as int) between {low} and {high})"
+    return f"array_join({inside}, ' ')"
 
 
-def normalize_lecture_type(column: Column) -> Column:
-    return F.when(column == "solving question", "solving_question").otherwise(column)
+def lecture_type(column: str = "type_of") -> str:
+    return f"case when {column} = 'solving question' then 'solving_question' else {column} end"
 
 
-def draw(seed: int | Column, *ids: Column) -> Column:
-    """A pseudo-random hex string that depends only on the seed and the ids."""
-    seed = seed if isinstance(seed, Column) else F.lit(seed)
-    return F.md5(F.concat_ws(":", seed.cast("string"), *[i.cast("string") for i in ids]))
+def draw(kind: str, key: str, seed: int | str) -> str:
+    """A pseudo-random hex string that depends only on the kind, seed and key."""
+    return f"md5(concat_ws(':', cast({seed} as string), '{kind}', cast({key} as string)))"
 
 
-def drawn(hashed: Column, share: float) -> Column:
+def drawn(hashed: str, share: float) -> str:
     """True for about ``share`` of the draws: the leading 32 bits are below it."""
     bound = min(int(round(share * 2**32)), 2**32)
     if bound == 2**32:
-        return F.lit(True)
-    return F.substring(hashed, 1, 8) < f"{bound:08x}"
+        return "true"
+    return f"(substring({hashed}, 1, 8) < '{bound:08x}')"

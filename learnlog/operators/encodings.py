@@ -13,21 +13,37 @@ from learnlog.functions.columns import ratio
 from learnlog.operators.history import answered
 from learnlog.sources.tables import materialize
 
+_EXPLAINED = "prior_question_had_explanation"
+_ELAPSED = "prior_question_elapsed_time"
+_PIVOT = {
+    "content_explation_false_mean": f"avg({schemas.TARGET}) filter (where {_EXPLAINED} = 0)",
+    "content_explation_true_mean": f"avg({schemas.TARGET}) filter (where {_EXPLAINED} = 1)",
+}
+
+
+def _aggregates(columns: dict[str, str]) -> list:
+    return [F.expr(f"{total} as {name}") for name, total in columns.items()]
+
+
+def _target_counts(variance: str) -> dict[str, str]:
+    return {
+        "s": f"sum({schemas.TARGET})",
+        "n": f"count({schemas.TARGET})",
+        variance: f"var_samp({schemas.TARGET})",
+    }
+
 
 def container_stats(log: DataFrame) -> DataFrame:
     """Per task container. The ``_std`` column holds the sample variance."""
-    target = F.col(schemas.TARGET)
     stats = answered(log).groupBy("task_container_id").agg(
-        F.sum(target).alias("s"),
-        F.count(target).alias("n"),
-        F.var_samp(target).alias("task_container_std"),
+        *_aggregates(_target_counts("task_container_std"))
     )
-    return stats.select(
+    return stats.selectExpr(
         "task_container_id",
-        (F.col("n") - F.col("s")).alias("task_container_uncor_count"),
-        F.col("s").alias("task_container_cor_count"),
+        "n - s as task_container_uncor_count",
+        "s as task_container_cor_count",
         "task_container_std",
-        ratio(F.col("s"), F.col("n")).alias("task_container_correctness"),
+        f"{ratio('s', 'n')} as task_container_correctness",
     )
 
 
@@ -37,43 +53,33 @@ def content_stats(log: DataFrame, means: DataFrame) -> DataFrame:
     The elapsed time is averaged as if filled by its mean: the missing ones add
     the mean once each.
     """
-    target = F.col(schemas.TARGET)
-    elapsed = F.col("prior_question_elapsed_time")
-    explained = F.col("prior_question_had_explanation")
     stats = answered(log).groupBy("content_id").agg(
-        F.sum(target).alias("s"),
-        F.count(target).alias("n"),
-        F.var_samp(target).alias("content_correctness_std"),
-        F.coalesce(F.sum(elapsed), F.lit(0.0)).alias("elapsed"),
-        F.count(F.when(elapsed.isNull(), 1)).alias("missing"),
-        F.avg(explained).alias("content_had_explanation_mean"),
-        F.avg(F.when(explained == 0, target)).alias("content_explation_false_mean"),
-        F.avg(F.when(explained == 1, target)).alias("content_explation_true_mean"),
+        *_aggregates(
+            {
+                **_target_counts("content_correctness_std"),
+                **_PIVOT,
+                "elapsed": f"coalesce(sum({_ELAPSED}), 0)",
+                "missing": f"count(*) filter (where {_ELAPSED} is null)",
+                "content_had_explanation_mean": f"avg({_EXPLAINED})",
+            }
+        )
     )
-    filled = F.col("elapsed") + F.when(
-        F.col("missing") > 0, F.col("missing") * F.col("elapsed_mean")
-    ).otherwise(0.0)
-    return stats.crossJoin(F.broadcast(means.select("elapsed_mean"))).select(
+    return stats.crossJoin(F.broadcast(means.select("elapsed_mean"))).selectExpr(
         "content_id",
         "content_explation_false_mean",
         "content_explation_true_mean",
-        ratio(F.col("s"), F.col("n")).alias("content_correctness"),
+        f"{ratio('s', 'n')} as content_correctness",
         "content_correctness_std",
-        (F.col("n") - F.col("s")).alias("content_uncorrect_count"),
-        F.col("s").alias("content_correct_count"),
-        (filled / F.col("n")).alias("content_elapsed_time_mean"),
+        "n - s as content_uncorrect_count",
+        "s as content_correct_count",
+        "(elapsed + coalesce(missing * elapsed_mean, 0)) / n as content_elapsed_time_mean",
         "content_had_explanation_mean",
     )
 
 
 def explanation_pivot(log: DataFrame) -> DataFrame:
     """Per content: mean target without and with an explanation seen before."""
-    target = F.col(schemas.TARGET)
-    explained = F.col("prior_question_had_explanation")
-    return answered(log).groupBy("content_id").agg(
-        F.avg(F.when(explained == 0, target)).alias("content_explation_false_mean"),
-        F.avg(F.when(explained == 1, target)).alias("content_explation_true_mean"),
-    )
+    return answered(log).groupBy("content_id").agg(*_aggregates(_PIVOT))
 
 
 def attach(rows: DataFrame, stats: DataFrame, key: str) -> DataFrame:

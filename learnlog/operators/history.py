@@ -6,123 +6,118 @@ number per (user, content), share one hash exchange on ``user_id``. Users too
 large for one task take the sliced plan of :mod:`learnlog.operators.ordered`.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlog import schemas
-from learnlog.functions.columns import had_explanation, is_answered, ratio, to_hours
+from learnlog.functions.columns import had_explanation, hours, is_answered, ratio
 from learnlog.operators.ordered import (
     DEFAULT_LIMITS,
     SLICE,
+    UP_TO_HERE,
     SliceLimits,
     carried_sums,
     carried_tail,
     split_heavy,
-    up_to_here,
+    window,
 )
 
-LAGS = (1, 2, 3)
+# Gap features by how many answers they look back.
+LAGS = {1: "lagtime", 2: "lagtime2", 3: "lagtime3"}
+_DEPTH = max(LAGS)
 _EXPLAINED = "prior_question_had_explanation"
 _ELAPSED = "prior_question_elapsed_time"
 
 
+def replaced(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Set columns to expressions over the input row, keeping their positions."""
+    old = df.columns
+    kept = [f"{columns[c]} as {c}" if c in columns else c for c in old]
+    return df.selectExpr(*kept, *[f"{e} as {c}" for c, e in columns.items() if c not in old])
+
+
 def answered(log: DataFrame) -> DataFrame:
     """Rows with a label; the explanation flag filled and turned into 0/1."""
-    return log.where(is_answered()).withColumn(_EXPLAINED, had_explanation())
+    return replaced(log.where(is_answered()), {_EXPLAINED: had_explanation()})
 
 
 # --- window stages --------------------------------------------------------------
 
-
-def _count_all(rows: DataFrame, keys: list[str]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy("row_id")
-    return rows.withColumns(
-        {
-            "user_interaction_count": F.row_number().over(window).cast("long"),
-            "user_lecture_sum": F.sum("content_type_id").over(up_to_here(keys, "row_id")),
-        }
+# Totals that a slice of a heavy user adds to the slices after it.
+_ALL_TOTALS = {
+    "user_interaction_count": "count(*)",
+    "user_lecture_sum": "sum(content_type_id)",
+}
+_ANSWER_TOTALS = {
+    "_position": "count(*)",
+    "_correct": f"sum({schemas.TARGET})",
+    "_explained": f"sum({_EXPLAINED})",
+}
+_ATTEMPT_TOTALS = {"attempt_no": "count(*)"}
+
+
+def _count_all(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    upto = window(keys, "row_id", UP_TO_HERE)
+    return rows.selectExpr("*", *[f"{t} over {upto} as {n}" for n, t in _ALL_TOTALS.items()])
+
+
+def _count_answered(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    by_row = window(keys, "row_id")
+    upto = window(keys, "row_id", UP_TO_HERE)
+    attempts = window([*keys, "content_id"], "row_id", UP_TO_HERE)
+    return rows.selectExpr(
+        "*",
+        *[f"{t} over {upto} as {n}" for n, t in _ANSWER_TOTALS.items()],
+        f"lag({_ELAPSED}, 1) over {by_row} as _elapsed1",
+        *[f"lag(timestamp, {k}) over {by_row} as _ts{k}" for k in LAGS],
+        f"count(*) over {attempts} as attempt_no",
     )
 
 
-def _count_answered(rows: DataFrame, keys: list[str]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy("row_id")
-    running = up_to_here(keys, "row_id")
-    attempts = Window.partitionBy(*keys, "content_id").orderBy("row_id")
-    return rows.withColumns(
-        {
-            "_position": F.row_number().over(window).cast("long"),
-            "_correct": F.sum(schemas.TARGET).over(running),
-            "_explained": F.sum(_EXPLAINED).over(running),
-            "_elapsed1": F.lag(_ELAPSED, 1).over(window),
-            **{f"_ts{k}": F.lag("timestamp", k).over(window) for k in LAGS},
-        }
-    ).withColumn("attempt_no", F.row_number().over(attempts).cast("long"))
-
-
-def _add(df: DataFrame, carried: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Add the carried totals to the in-slice ones."""
-    shifts = carried.withColumnsRenamed({c: f"_carried_{c}" for c in columns})
+def _add(
+    df: DataFrame, carried: DataFrame, keys: Sequence[str], totals: Mapping[str, str]
+) -> DataFrame:
+    """Add the totals of the earlier slices to the running totals of this one."""
+    columns = df.columns
+    shifts = carried.withColumnsRenamed({n: f"_carried_{n}" for n in totals})
+    sums = {n: f"{n} + coalesce(_carried_{n}, 0)" for n in totals}
     joined = df.join(shifts, [*keys, SLICE], "left")
-    total = {c: F.col(c) + F.coalesce(F.col(f"_carried_{c}"), F.lit(0)) for c in columns}
-    return joined.withColumns(total).drop(*[f"_carried_{c}" for c in columns])
-
-
-def _counted(log: DataFrame, limits: SliceLimits) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary, sliced) rows, lectures included, with the running counts."""
-    ordinary, sliced = split_heavy(log, limits)
-    return _count_all(ordinary, ["user_id"]), sliced
+    return joined.selectExpr(*[f"{sums[c]} as {c}" if c in sums else c for c in columns])
 
 
 def _count_all_sliced(sliced: DataFrame) -> DataFrame:
-    totals = {
-        "user_interaction_count": F.count("*"),
-        "user_lecture_sum": F.sum("content_type_id"),
-    }
-    carried = carried_sums(sliced, ["user_id"], totals)
-    return _add(_count_all(sliced, ["user_id", SLICE]), carried, ["user_id"], list(totals))
+    carried = carried_sums(sliced, ["user_id"], _ALL_TOTALS)
+    return _add(_count_all(sliced, ["user_id", SLICE]), carried, ["user_id"], _ALL_TOTALS)
 
 
 def _count_answered_sliced(sliced: DataFrame) -> DataFrame:
     questions = answered(sliced)
-    totals = {
-        "_position": F.count("*"),
-        "_correct": F.sum(schemas.TARGET),
-        "_explained": F.sum(_EXPLAINED),
-    }
-    carried = carried_sums(questions, ["user_id"], totals)
-    tail = carried_tail(questions, "user_id", ["timestamp", _ELAPSED], max(LAGS), "_tail")
-    attempts = carried_sums(
-        questions, ["user_id", "content_id"], {"attempt_no": F.count("*")}
-    )
+    pair = ["user_id", "content_id"]
+    carried = carried_sums(questions, ["user_id"], _ANSWER_TOTALS)
+    attempts = carried_sums(questions, pair, _ATTEMPT_TOTALS)
+    tail = carried_tail(questions, "user_id", ["timestamp", _ELAPSED], _DEPTH, "_tail")
 
     rows = _count_answered(answered(_count_all_sliced(sliced)), ["user_id", SLICE])
-    rows = rows.withColumn("_inside", F.col("_position"))
-    rows = rows.join(tail, ["user_id", SLICE], "left")
 
-    def lagged(column: str, source: str, k: int) -> Column:
+    def lagged(column: str, source: str, k: int) -> str:
         # Rows at the start of a slice look back into the carried tail.
-        carried_row = F.get(F.col("_tail"), (F.lit(k) - F.col("_inside")).cast("int"))
-        return F.when(F.col("_inside") > k, F.col(column)).otherwise(
-            carried_row.getField(source)
-        )
-
-    rows = rows.withColumns(
-        {
-            "_elapsed1": lagged("_elapsed1", _ELAPSED, 1),
-            **{f"_ts{k}": lagged(f"_ts{k}", "timestamp", k) for k in LAGS},
-        }
-    ).drop("_tail", "_inside")
-    rows = _add(rows, carried, ["user_id"], list(totals))
-    return _add(rows, attempts, ["user_id", "content_id"], ["attempt_no"])
+        before = f"get(_tail, cast({k} - _position as int)).{source}"
+        return f"case when _position > {k} then {column} else {before} end"
+
+    looked_back = {"_elapsed1": lagged("_elapsed1", _ELAPSED, 1)}
+    looked_back |= {f"_ts{k}": lagged(f"_ts{k}", "timestamp", k) for k in LAGS}
+    rows = replaced(rows.join(tail, ["user_id", SLICE], "left"), looked_back).drop("_tail")
+    rows = _add(rows, carried, ["user_id"], _ANSWER_TOTALS)
+    return _add(rows, attempts, pair, _ATTEMPT_TOTALS)
 
 
 def _with_count_ratios(rows: DataFrame) -> DataFrame:
-    count = F.col("user_interaction_count")
-    return rows.withColumns(
-        {
-            "user_interaction_timestamp_mean": to_hours(F.col("timestamp") / count),
-            "user_lecture_lv": F.col("user_lecture_sum") / count,
-        }
+    return rows.selectExpr(
+        "*",
+        f"{hours('timestamp / user_interaction_count')} as user_interaction_timestamp_mean",
+        "user_lecture_sum / user_interaction_count as user_lecture_lv",
     )
 
 
@@ -132,7 +127,8 @@ def interaction_counts(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) ->
     Adds ``user_interaction_count``, ``user_interaction_timestamp_mean`` (hours),
     ``user_lecture_sum`` and ``user_lecture_lv``.
     """
-    rows, sliced = _counted(log, limits)
+    ordinary, sliced = split_heavy(log, limits)
+    rows = _count_all(ordinary, ["user_id"])
     if sliced is not None:
         rows = rows.unionByName(_count_all_sliced(sliced).drop(SLICE))
     return _with_count_ratios(rows)
@@ -140,8 +136,8 @@ def interaction_counts(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) ->
 
 def user_runs(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """Answered rows with all running counts and raw lags, nothing filled."""
-    rows, sliced = _counted(log, limits)
-    rows = _count_answered(answered(rows), ["user_id"])
+    ordinary, sliced = split_heavy(log, limits)
+    rows = _count_answered(answered(_count_all(ordinary, ["user_id"])), ["user_id"])
     if sliced is not None:
         rows = rows.unionByName(_count_answered_sliced(sliced).drop(SLICE))
     return _with_count_ratios(rows)
@@ -159,114 +155,112 @@ def global_means(log: DataFrame) -> DataFrame:
     drops all others before the shuffle.
     """
     questions = answered(log).select("user_id", "row_id", "timestamp", _ELAPSED)
-    overall = questions.agg(
-        F.count("*").alias("n"),
-        F.avg(_ELAPSED).alias("elapsed_mean"),
-    )
+    overall = questions.agg(F.expr("count(*) as n"), F.expr(f"avg({_ELAPSED}) as elapsed_mean"))
 
-    def edge(order: Column, name: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("user_id").orderBy(order))
-        rows = questions.withColumn("_rank", rank).where(F.col("_rank") <= max(LAGS))
+    def edge(order: str, name: str) -> DataFrame:
+        rank = f"row_number() over {window(['user_id'], order)} as _rank"
+        rows = questions.selectExpr("*", rank).where(f"_rank <= {_DEPTH}")
         # Exact sums: epoch-scale milliseconds over many users overflow a long.
-        ts = F.col("timestamp").cast("decimal(20,0)")
-        within = {k: F.col("_rank") <= k for k in LAGS}
-        zero = F.lit(0)
-        return rows.agg(
-            *[F.sum(F.when(within[k], ts)).alias(f"{name}_ts{k}") for k in LAGS],
-            *[F.count(F.when(within[k], 1)).alias(f"{name}_n{k}") for k in LAGS],
-            F.coalesce(F.sum(F.when(within[1], F.col(_ELAPSED))), zero).alias(f"{name}_elapsed"),
-            F.count(F.when(within[1] & F.col(_ELAPSED).isNull(), 1)).alias(f"{name}_nulls"),
-        )
-
-    edges = (
-        overall.crossJoin(F.broadcast(edge(F.asc("row_id"), "first")))
-        .crossJoin(F.broadcast(edge(F.desc("row_id"), "last")))
+        ts = "cast(timestamp as decimal(20, 0))"
+        totals = {
+            **{f"ts{k}": f"sum({ts}) filter (where _rank <= {k})" for k in LAGS},
+            **{f"n{k}": f"count(*) filter (where _rank <= {k})" for k in LAGS},
+            "elapsed": f"coalesce(sum({_ELAPSED}) filter (where _rank = 1), 0)",
+            "nulls": f"count(*) filter (where _rank = 1 and {_ELAPSED} is null)",
+        }
+        return rows.agg(*[F.expr(f"{total} as {name}_{c}") for c, total in totals.items()])
+
+    edges = overall.crossJoin(F.broadcast(edge("row_id", "first"))).crossJoin(
+        F.broadcast(edge("row_id desc", "last"))
     )
     lag_means = [
-        ratio(F.col(f"last_ts{k}") - F.col(f"first_ts{k}"), F.col("n") - F.col(f"first_n{k}"))
-        for k in LAGS
+        f"{ratio(f'last_ts{k} - first_ts{k}', f'n - first_n{k}')} as {name}_mean"
+        for k, name in LAGS.items()
     ]
-    filled_nulls = F.col("last_nulls") - F.col("first_nulls")
-    delta = (
-        F.col("last_elapsed")
-        - F.col("first_elapsed")
-        + F.when(filled_nulls != 0, filled_nulls * F.col("elapsed_mean")).otherwise(0.0)
-    )
-    return edges.select(
-        "elapsed_mean",
-        *[m.alias(f"lagtime{'' if k == 1 else k}_mean") for k, m in zip(LAGS, lag_means)],
-        ratio(delta, F.col("n") - F.col("first_n1")).alias("delta_mean"),
-    )
+    # A missing first or last value counts as the mean.
+    filled = "coalesce((last_nulls - first_nulls) * elapsed_mean, 0)"
+    delta = ratio(f"(last_elapsed - first_elapsed + {filled})", "n - first_n1")
+    return edges.selectExpr("elapsed_mean", *lag_means, f"{delta} as delta_mean")
 
 
 # --- features -------------------------------------------------------------------
 
 
-def add_lagtimes(runs: DataFrame, means: DataFrame) -> DataFrame:
-    """Hours since the first, second and third answer before this one."""
+def _lagtimes() -> dict[str, str]:
+    return {
+        name: hours(f"coalesce(cast(timestamp - _ts{k} as double), {name}_mean)")
+        for k, name in LAGS.items()
+    }
+
+
+def _elapsed() -> dict[str, str]:
+    filled = f"coalesce({_ELAPSED}, elapsed_mean)"
+    change = f"{filled} - coalesce(_elapsed1, elapsed_mean)"
+    delta = f"coalesce(case when _position > 1 then {change} end, delta_mean)"
+    return {
+        _ELAPSED: filled,
+        # A cast to an integer truncates toward zero.
+        "delta_prior_question_elapsed_time": f"cast({delta} as bigint)",
+    }
+
+
+def _prior_accuracy() -> dict[str, str]:
+    correct = f"(_correct - {schemas.TARGET})"
+    rate = ratio(correct, "(_position - 1)")
+    return {
+        "user_correct_count": correct,
+        "user_uncorrect_count": f"_position - 1 - {correct}",
+        "user_correctness": f"coalesce({rate}, {schemas.FIRST_ACCURACY}D)",
+    }
 
-    def hours(k: int) -> Column:
-        gap = (F.col("timestamp") - F.col(f"_ts{k}")).cast("double")
-        return to_hours(F.coalesce(gap, F.col(f"lagtime{'' if k == 1 else k}_mean")))
 
-    return runs.crossJoin(F.broadcast(means)).withColumns(
-        {f"lagtime{'' if k == 1 else k}": hours(k) for k in LAGS}
-    ).drop(*means.columns)
+def _explanation_counts() -> dict[str, str]:
+    return {
+        "explanation_mean": "_explained / _position",
+        "explanation_true_count": "_explained",
+        "explanation_false_count": "_position - _explained",
+    }
+
+
+def add_lagtimes(runs: DataFrame, means: DataFrame) -> DataFrame:
+    """Hours since the first, second and third answer before this one."""
+    rows = replaced(runs.crossJoin(F.broadcast(means)), _lagtimes())
+    return rows.drop(*means.columns)
 
 
 def add_elapsed(runs: DataFrame, means: DataFrame) -> DataFrame:
     """Fill the elapsed time by its mean; add its change since the last answer."""
-    mean = F.col("elapsed_mean")
-    elapsed = F.coalesce(F.col(_ELAPSED), mean)
-    change = F.when(F.col("_position") > 1, elapsed - F.coalesce(F.col("_elapsed1"), mean))
-    filled = F.coalesce(change, F.col("delta_mean"))
-    return runs.crossJoin(F.broadcast(means)).withColumns(
-        {
-            _ELAPSED: elapsed,
-            # A cast to an integer truncates toward zero.
-            "delta_prior_question_elapsed_time": filled.cast("long"),
-        }
-    ).drop(*means.columns)
+    rows = replaced(runs.crossJoin(F.broadcast(means)), _elapsed())
+    return rows.drop(*means.columns)
 
 
 def add_prior_accuracy(runs: DataFrame) -> DataFrame:
     """Correct, incorrect and rate over the user's earlier answers only."""
-    seen = F.col("_position") - 1
-    correct = F.col("_correct") - F.col(schemas.TARGET)
-    return runs.withColumns(
-        {
-            "user_correct_count": correct,
-            "user_uncorrect_count": seen - correct,
-            "user_correctness": F.coalesce(
-                ratio(correct, seen), F.lit(schemas.FIRST_ACCURACY).cast("double")
-            ),
-        }
-    )
+    return replaced(runs, _prior_accuracy())
 
 
 def add_explanation_counts(runs: DataFrame) -> DataFrame:
     """Explanations seen and not seen up to this row, and their rate."""
-    seen, explained = F.col("_position"), F.col("_explained")
-    return runs.withColumns(
-        {
-            "explanation_mean": explained / seen,
-            "explanation_true_count": explained,
-            "explanation_false_count": seen - explained,
-        }
-    )
+    return replaced(runs, _explanation_counts())
 
 
 def history(
     log: DataFrame, means: DataFrame, limits: SliceLimits = DEFAULT_LIMITS
 ) -> DataFrame:
     """All history features, one row per answered interaction, keyed by ``row_id``."""
-    rows = user_runs(log, limits)
-    rows = add_explanation_counts(add_prior_accuracy(rows))
-    rows = add_elapsed(add_lagtimes(rows, means), means)
-    # Last: the lags above are taken in milliseconds.
-    rows = rows.withColumn("timestamp", to_hours(F.col("timestamp")))
-    columns = [c for c in schemas.HISTORY_COLUMNS if c in rows.columns]
-    return rows.select("row_id", *columns)
+    rows = user_runs(log, limits).crossJoin(F.broadcast(means))
+    computed = {
+        **_lagtimes(),
+        **_elapsed(),
+        **_prior_accuracy(),
+        **_explanation_counts(),
+        "timestamp": hours("timestamp"),
+    }
+    present = {*rows.columns, *computed}
+    columns = [c for c in schemas.HISTORY_COLUMNS if c in present]
+    return rows.selectExpr(
+        "row_id", *[f"{computed[c]} as {c}" if c in computed else c for c in columns]
+    )
 
 
 # --- state tables: one row per user or per (user, content) -----------------------
@@ -286,7 +280,7 @@ def attempt_totals(log: DataFrame) -> DataFrame:
 
 def repeat_attempts(log: DataFrame) -> DataFrame:
     """The (user, content) pairs attempted more than once."""
-    return attempt_totals(log).where(F.col("sum") > 1)
+    return attempt_totals(log).where("sum > 1")
 
 
 def last_timestamps(log: DataFrame) -> DataFrame:
@@ -303,9 +297,9 @@ def previous_timestamps(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) ->
 
 def last_elapsed(log: DataFrame, means: DataFrame) -> DataFrame:
     """Per user: the elapsed time of the last row, filled by the mean."""
-    last = answered(log).groupBy("user_id").agg(F.max_by(_ELAPSED, "row_id").alias(_ELAPSED))
-    return last.crossJoin(F.broadcast(means)).select(
-        "user_id", F.coalesce(F.col(_ELAPSED), F.col("elapsed_mean")).alias(_ELAPSED)
+    last = answered(log).groupBy("user_id").agg(F.max_by(_ELAPSED, "row_id").alias("last"))
+    return last.crossJoin(F.broadcast(means)).selectExpr(
+        "user_id", f"coalesce(last, elapsed_mean) as {_ELAPSED}"
     )
 
 

@@ -1,10 +1,11 @@
 """Lecture rows of the log and each user's lecture profile."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlog import schemas
-from learnlog.functions.columns import is_lecture, normalize_lecture_type
+from learnlog.functions.columns import is_lecture, lecture_type
+from learnlog.operators.history import replaced
 from learnlog.sources.tables import materialize
 
 
@@ -13,25 +14,22 @@ def lecture_rows(log: DataFrame) -> DataFrame:
 
 
 def normalize_types(lectures: DataFrame) -> DataFrame:
-    return lectures.withColumn("type_of", normalize_lecture_type(F.col("type_of")))
+    return replaced(lectures, {"type_of": lecture_type()})
 
 
 def one_hot(lectures: DataFrame) -> DataFrame:
     """0/1 columns per part and per type, from the fixed lists of categories."""
-    typed = normalize_types(lectures)
-
-    def flag(column: str, value) -> Column:
-        return F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
-
-    flags = {f"part_{p}": flag("part", p) for p in schemas.LECTURE_PARTS}
-    flags |= {f"type_of_{t}": flag("type_of", t) for t in schemas.LECTURE_TYPES}
-    return typed.withColumns(flags).drop("part", "type_of")
+    tests = {f"part_{p}": f"part = {p}" for p in schemas.LECTURE_PARTS}
+    tests |= {f"type_of_{t}": f"type_of = '{t}'" for t in schemas.LECTURE_TYPES}
+    flags = [f"coalesce(cast({test} as int), 0) as {name}" for name, test in tests.items()]
+    kept = [c for c in lectures.columns if c not in ("part", "type_of")]
+    return normalize_types(lectures).selectExpr(*kept, *flags)
 
 
 def join_lectures(log: DataFrame, lectures: DataFrame) -> DataFrame:
     """Every lecture row with its lecture's flags; NULL flags without a lecture."""
     return lecture_rows(log).join(
-        one_hot(lectures), F.col("content_id") == F.col("lecture_id"), "left"
+        one_hot(lectures), F.expr("content_id = lecture_id"), "left"
     )
 
 
@@ -45,9 +43,7 @@ def lecture_profile(log: DataFrame, lectures: DataFrame) -> DataFrame:
     watched = materialize(
         lecture_rows(log).select("user_id", "content_id").distinct(), "watched-lectures"
     )
-    joined = watched.join(
-        one_hot(lectures), F.col("content_id") == F.col("lecture_id"), "left"
-    )
+    joined = watched.join(one_hot(lectures), F.expr("content_id = lecture_id"), "left")
     return joined.groupBy("user_id").agg(
-        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in schemas.LECTURE_FLAGS]
+        *[F.expr(f"coalesce(max({c}), 0) as {c}") for c in schemas.LECTURE_FLAGS]
     )

@@ -6,16 +6,18 @@ inside a slice, and what came before the slice is carried in from per-slice
 summaries, which are aggregated map-side from the same rows.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlog.sources.tables import materialize
 
 SLICE = "_slice"
 RANGE = "_range"
+BEFORE = "rows between unbounded preceding and 1 preceding"
+UP_TO_HERE = "rows between unbounded preceding and current row"
 
 
 @dataclass(frozen=True)
@@ -42,14 +44,19 @@ class SliceLimits:
 DEFAULT_LIMITS = SliceLimits()
 
 
+def window(keys: Sequence[str], order: str, frame: str = "") -> str:
+    """The text of a window; without keys, one group."""
+    partition = f"partition by {', '.join(keys)} " if keys else ""
+    return f"({partition}order by {order} {frame})"
+
+
 def heavy_users(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """Users whose windows must be sliced; fewer than ``limits.max_users`` rows."""
-    counts = log.groupBy("user_id").agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows").alias("total"))
-    rows = F.col("rows")
+    counts = log.groupBy("user_id").agg(F.expr("count(*) as rows"))
+    total = counts.agg(F.expr("sum(rows) as total"))
     return (
         counts.crossJoin(F.broadcast(total))
-        .where((rows > limits.min_rows) & (rows * F.lit(limits.max_users) > F.col("total")))
+        .where(f"rows > {limits.min_rows} and rows * bigint({limits.max_users}) > total")
         .select("user_id")
     )
 
@@ -66,32 +73,22 @@ def split_heavy(
         return log, None
     heavy = materialize(heavy, "heavy-users")
     ordinary = log.join(F.broadcast(heavy), "user_id", "left_anti")
-    sliced = log.join(F.broadcast(heavy), "user_id", "left_semi").withColumn(
-        SLICE, F.floor(F.col("row_id") / F.lit(limits.slice_rows)).cast("long")
+    sliced = log.join(F.broadcast(heavy), "user_id", "left_semi").selectExpr(
+        "*", f"row_id div {limits.slice_rows} as {SLICE}"
     )
     return ordinary, sliced
 
 
-def earlier(keys: Sequence[str], order: str) -> WindowSpec:
-    """All rows of the group before the current one."""
-    window = Window.partitionBy(*keys).orderBy(order)
-    return window.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def up_to_here(keys: Sequence[str], order: str) -> WindowSpec:
-    """All rows of the group up to and including the current one."""
-    window = Window.partitionBy(*keys).orderBy(order)
-    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def carried_sums(
-    rows: DataFrame, keys: Sequence[str], sums: dict[str, Column]
+    rows: DataFrame, keys: Sequence[str], sums: Mapping[str, str]
 ) -> DataFrame:
     """Per (keys, slice): each sum over all earlier slices of the same keys."""
-    per_slice = rows.groupBy(*keys, SLICE).agg(*[s.alias(n) for n, s in sums.items()])
-    window = earlier(keys, SLICE)
-    return per_slice.select(
-        *keys, SLICE, *[F.coalesce(F.sum(n).over(window), F.lit(0)).alias(n) for n in sums]
+    per_slice = rows.groupBy(*keys, SLICE).agg(
+        *[F.expr(f"{total} as {name}") for name, total in sums.items()]
+    )
+    before = window(keys, SLICE, BEFORE)
+    return per_slice.selectExpr(
+        *keys, SLICE, *[f"coalesce(sum({n}) over {before}, 0) as {n}" for n in sums]
     )
 
 
@@ -103,21 +100,23 @@ def carried_tail(
     The rank filter keeps at most ``depth`` rows per slice and map task before
     the shuffle, so the collected lists are never longer than ``depth``.
     """
-    latest = Window.partitionBy(key, SLICE).orderBy(F.desc("row_id"))
+    rank = f"row_number() over {window([key, SLICE], 'row_id desc')} as _rank"
     tails = (
-        rows.select(key, SLICE, "row_id", *columns)
-        .withColumn("_rank", F.row_number().over(latest))
-        .where(F.col("_rank") <= depth)
+        rows.selectExpr(key, SLICE, *columns, rank)
+        .where(f"_rank <= {depth}")
         .groupBy(key, SLICE)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", *columns))).alias("_tail"))
+        .agg(
+            F.expr(f"array_sort(collect_list(struct(_rank, {', '.join(columns)}))) as _tail")
+        )
     )
     # Each slice here holds at least one row, so the last `depth` rows lie in
     # the previous `depth` slices.
-    by_slice = Window.partitionBy(key).orderBy(SLICE)
-    previous = [F.lag("_tail", k).over(by_slice) for k in range(1, depth + 1)]
-    empty = F.slice(F.col("_tail"), 1, 0)
-    joined = F.concat(*[F.coalesce(p, empty) for p in previous])
-    return tails.select(key, SLICE, F.slice(joined, 1, depth).alias(name))
+    by_slice = window([key], SLICE)
+    previous = ", ".join(
+        f"coalesce(lag(_tail, {k}) over {by_slice}, slice(_tail, 1, 0))"
+        for k in range(1, depth + 1)
+    )
+    return tails.selectExpr(key, SLICE, f"slice(concat({previous}), 1, {depth}) as {name}")
 
 
 def running_totals(
@@ -131,24 +130,20 @@ def running_totals(
     most the number of shuffle partitions plus the number of groups.
     """
     keys = [*within, *order]
-    ranged = df.repartitionByRange(*keys).withColumn(RANGE, F.spark_partition_id())
+    columns = df.columns
+    ranged = df.repartitionByRange(*keys).selectExpr("*", f"spark_partition_id() as {RANGE}")
     ranged = materialize(ranged, "ranges")
-    inside = (
-        Window.partitionBy(*within, RANGE)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = ranged.groupBy(*within, RANGE).agg(*[F.sum(s).alias(s) for s in sums])
-    before = earlier(within, RANGE)
-    offsets = totals.select(
+    totals = ranged.groupBy(*within, RANGE).agg(*[F.expr(f"sum({s}) as {s}") for s in sums])
+    ranges_before = window(within, RANGE, BEFORE)
+    offsets = totals.selectExpr(
         *within,
         RANGE,
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_offset_{s}") for s in sums],
+        *[f"coalesce(sum({s}) over {ranges_before}, 0) as _offset_{s}" for s in sums],
     )
-    running = ranged.withColumns(
-        {f"_inside_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums}
+    inside = window([*within, RANGE], ", ".join(order), BEFORE)
+    running = ranged.selectExpr(
+        "*", *[f"coalesce(sum({s}) over {inside}, 0) as _inside_{s}" for s in sums]
     )
-    return running.join(F.broadcast(offsets), [*within, RANGE]).select(
-        *df.columns,
-        *[(F.col(f"_inside_{s}") + F.col(f"_offset_{s}")).alias(f"before_{s}") for s in sums],
+    return running.join(F.broadcast(offsets), [*within, RANGE]).selectExpr(
+        *columns, *[f"_inside_{s} + _offset_{s} as before_{s}" for s in sums]
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlog import schemas
-from learnlog.functions.columns import part_bundle_key, tag_band
+from learnlog.functions.columns import filled_tags, part_bundle_key, tag_band
 from learnlog.operators.ordered import running_totals
 from learnlog.sources.tables import materialize
 
@@ -24,34 +24,30 @@ STAT_COLUMNS = [
 
 def tag_bands(questions: DataFrame) -> DataFrame:
     """``tags0`` to ``tags5``: the tags of each band of 32 as one string."""
-    tags = F.coalesce(F.col("tags"), F.lit(schemas.MISSING_TAGS))
-    bands = {f"tags{band}": tag_band(tags, band) for band in schemas.TAG_BANDS}
-    return questions.withColumns(bands)
+    bands = [f"{tag_band(filled_tags(), band)} as tags{band}" for band in schemas.TAG_BANDS]
+    return questions.selectExpr("*", *bands)
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, label, code): distinct labels of each column numbered from 0 in order."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in columns]
-    labels = df.select(F.inline(F.array(*cells))).where(F.col("label").isNotNull()).distinct()
+    cells = ", ".join(f"struct('{c}' as column, {c} as label)" for c in columns)
+    labels = df.selectExpr(f"inline(array({cells}))").where("label is not null").distinct()
     ranked = running_totals(
-        labels.withColumn("one", F.lit(1)), order=["label"], sums=["one"], within=["column"]
+        labels.selectExpr("*", "1 as one"), order=["label"], sums=["one"], within=["column"]
     )
-    return ranked.select("column", "label", F.col("before_one").alias("code"))
+    return ranked.selectExpr("column", "label", "before_one as code")
 
 
 def label_encode(
     df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None
 ) -> DataFrame:
     """Replace each string column by the rank of its value among the distinct ones."""
+    kept = df.columns
     codes = codes or materialize(label_codes(df, columns), "labels")
-    for column in columns:
-        own = codes.where(F.col("column") == column).select(
-            F.col("label").alias(column), F.col("code").alias(f"_code_{column}")
-        )
-        df = df.join(own, column, "left").drop(column).withColumnRenamed(
-            f"_code_{column}", column
-        )
-    return df
+    for c in columns:
+        own = codes.where(f"column = '{c}'").selectExpr(f"label as {c}", f"code as _code_{c}")
+        df = df.join(own, c, "left")
+    return df.selectExpr(*[f"_code_{c} as {c}" if c in columns else c for c in kept])
 
 
 def bundle_sizes(questions: DataFrame) -> DataFrame:
@@ -80,10 +76,10 @@ def part_stats(questions: DataFrame) -> DataFrame:
     Every question weighs the same, however often it was answered.
     """
     return questions.groupBy("part").agg(
-        F.avg("content_correctness").alias("part_correctness_mean"),
-        F.var_samp("content_correctness").alias("part_correctness_std"),
-        F.coalesce(F.sum("content_uncorrect_count"), F.lit(0)).alias("part_uncor_count"),
-        F.coalesce(F.sum("content_correct_count"), F.lit(0)).alias("part_cor_count"),
+        F.expr("avg(content_correctness) as part_correctness_mean"),
+        F.expr("var_samp(content_correctness) as part_correctness_std"),
+        F.expr("coalesce(sum(content_uncorrect_count), 0) as part_uncor_count"),
+        F.expr("coalesce(sum(content_correct_count), 0) as part_cor_count"),
     )
 
 
@@ -117,5 +113,5 @@ def question_features(
     # Codes come from the bare question table: the joins add no label.
     codes = materialize(label_codes(tag_bands(questions), schemas.TAG_COLUMNS), "labels")
     rows = label_encode(tag_bands(rows).drop("tags"), schemas.TAG_COLUMNS, codes)
-    rows = rows.withColumn("part_bundle_id", part_bundle_key(F.col("part"), F.col("bundle_id")))
+    rows = rows.selectExpr("*", f"{part_bundle_key()} as part_bundle_id")
     return rows.select(*schemas.QUESTION_COLUMNS)

@@ -8,10 +8,11 @@ rows exactly.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learnlog.functions.columns import draw, drawn
+from learnlog.operators.ordered import UP_TO_HERE, window
 
 SAMPLE_ROWS = 12_000_000
 USER_SHARE = 0.08
@@ -20,57 +21,47 @@ FOLDS = 5
 _PREFIX = 5  # hex digits: at most 16 ** 5 groups
 
 
-def row_draw(seed: int | Column, id_col: str = "row_id") -> Column:
-    return draw(seed, F.lit("rows"), F.col(id_col))
+def row_draw(seed: int | str, id_col: str = "row_id") -> str:
+    return draw("rows", id_col, seed)
 
 
-def user_draw(seed: int | Column) -> Column:
-    return draw(seed, F.lit("users"), F.col("user_id"))
+def user_draw(seed: int | str) -> str:
+    return draw("users", "user_id", seed)
 
 
-def holdout_draw(seed: int | Column, id_col: str = "row_id") -> Column:
-    return draw(seed, F.lit("holdout"), F.col(id_col))
+def holdout_draw(seed: int | str, id_col: str = "row_id") -> str:
+    return draw("holdout", id_col, seed)
 
 
 # --- exact samples --------------------------------------------------------------
 
 
 def _cut(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> DataFrame:
-    """The draw of the n-th row per group: ``cut_draw``, ``cut_id``.
+    """The n-th row per group by (draw, id): ``cut_draw``, ``cut_id``.
 
     Draws are counted per hash prefix (at most 16 ** 5 rows a group); only the
     prefix in which the n-th row falls is ranked. No row if the group is smaller.
     """
-    prefix = F.substring("draw", 1, _PREFIX)
-    counts = (
-        drawn_rows.groupBy(*within, prefix.alias("prefix")).agg(F.count("*").alias("rows"))
-    )
-    order = Window.partitionBy(*within).orderBy("prefix")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {_PREFIX}) as prefix")
+    counts = prefixed.groupBy(*within, "prefix").agg(F.expr("count(*) as rows"))
+    upto = window(within, "prefix", UP_TO_HERE)
     crossing = (
-        counts.withColumn("upto", F.sum("rows").over(upto))
-        .where((F.col("upto") >= n) & (F.col("upto") - F.col("rows") < n))
-        .select(*within, "prefix", (F.col("upto") - F.col("rows")).alias("taken"))
-    )
-    inside = (
-        drawn_rows.withColumn("prefix", prefix)
-        .join(F.broadcast(crossing), [*within, "prefix"])  # one row per group
-        .withColumn(
-            "rank",
-            F.row_number().over(
-                Window.partitionBy(*within, "prefix").orderBy("draw", "id")
-            ),
-        )
+        counts.selectExpr("*", f"sum(rows) over {upto} as upto")
+        .where(f"upto >= {n} and upto - rows < {n}")
+        .selectExpr(*within, "prefix", "upto - rows as taken")
     )
-    return inside.where(F.col("rank") + F.col("taken") == n).select(
-        *within, F.col("draw").alias("cut_draw"), F.col("id").alias("cut_id")
+    rank = f"row_number() over {window([*within, 'prefix'], 'draw, id')} as rank"
+    inside = prefixed.join(
+        F.broadcast(crossing), [*within, "prefix"]  # one row per group
+    ).selectExpr("*", rank)
+    return inside.where(f"rank + taken = {n}").selectExpr(
+        *within, "draw as cut_draw", "id as cut_id"
     )
 
 
-def _not_after_cut(draw_col: Column, id_col: Column) -> Column:
-    cut_draw, cut_id = F.col("cut_draw"), F.col("cut_id")
-    inside = (draw_col < cut_draw) | ((draw_col == cut_draw) & (id_col <= cut_id))
-    return cut_draw.isNull() | inside
+def _not_after_cut(drawn_text: str, id_col: str) -> str:
+    inside = f"{drawn_text} < cut_draw or ({drawn_text} = cut_draw and {id_col} <= cut_id)"
+    return f"cut_draw is null or {inside}"
 
 
 def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "row_id") -> DataFrame:
@@ -80,15 +71,15 @@ def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "row_id") -> DataFr
     filtered in place, neither sorted nor sent through one task.
     """
     if n <= 0:
-        return df.where(F.lit(False))
-    drawn_rows = df.select(row_draw(seed, id_col).alias("draw"), F.col(id_col).alias("id"))
+        return df.where("false")
+    drawn_rows = df.selectExpr(f"{row_draw(seed, id_col)} as draw", f"{id_col} as id")
     # min over zero or one row: always one row, NULL where the table is smaller.
     cut = _cut(drawn_rows, n, []).agg(
         F.min("cut_draw").alias("cut_draw"), F.min("cut_id").alias("cut_id")
     )
     return (
         df.crossJoin(F.broadcast(cut))
-        .where(_not_after_cut(row_draw(seed, id_col), F.col(id_col)))
+        .where(_not_after_cut(row_draw(seed, id_col), id_col))
         .drop("cut_draw", "cut_id")
     )
 
@@ -133,12 +124,15 @@ def valid_union(random_rows: DataFrame, new_user_rows: DataFrame) -> DataFrame:
 # --- splits ----------------------------------------------------------------------
 
 
-def _mark(df: DataFrame, seed: int | Column, user_share, row_share, id_col) -> DataFrame:
-    kind = F.when(drawn(user_draw(seed), user_share), "new_user").when(
-        drawn(holdout_draw(seed, id_col), row_share), "random"
+def _mark(
+    df: DataFrame, seed: int | str, user_share: float, row_share: float, id_col: str
+) -> DataFrame:
+    kind = (
+        f"case when {drawn(user_draw(seed), user_share)} then 'new_user' "
+        f"when {drawn(holdout_draw(seed, id_col), row_share)} then 'random' end as valid_kind"
     )
-    return df.withColumn("valid_kind", kind).withColumn(
-        "split", F.when(F.col("valid_kind").isNull(), "train").otherwise("valid")
+    return df.selectExpr("*", kind).selectExpr(
+        "*", "case when valid_kind is null then 'train' else 'valid' end as split"
     )
 
 
@@ -172,16 +166,16 @@ def repeated_folds(
     All folds come from one scan: each row is offered to every fold and kept
     where it is not after that fold's cut.
     """
-    fold = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")
-    fold_seed = F.col("fold") + F.lit(seed)
-    drawn_rows = df.select(F.col(id_col).alias("id"), fold).select(
-        "fold", "id", draw(fold_seed, F.lit("rows"), F.col("id")).alias("draw")
+    fold = f"explode(sequence(0, {folds - 1})) as fold"
+    fold_seed = f"(fold + {seed})"
+    drawn_rows = df.selectExpr(f"{id_col} as id", fold).selectExpr(
+        "fold", "id", f"{row_draw(fold_seed, 'id')} as draw"
     )
     cuts = _cut(drawn_rows, n, ["fold"])  # at most one row per fold
     sampled = (
-        df.select("*", fold)
+        df.selectExpr("*", fold)
         .join(F.broadcast(cuts), "fold", "left")
-        .where(_not_after_cut(row_draw(fold_seed, id_col), F.col(id_col)))
+        .where(_not_after_cut(row_draw(fold_seed, id_col), id_col))
         .drop("cut_draw", "cut_id")
     )
     return _mark(sampled, fold_seed, user_share, row_share, id_col)

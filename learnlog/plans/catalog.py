@@ -23,7 +23,7 @@ BOUNDS = {"maxDepth": (2, 5), "maxBins": (16, 64), "maxIter": (2, 4)}
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     """Round columns whose last bits depend on the order of summation."""
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    return history.replaced(df, {name: f"round({name}, {digits})" for name in names})
 
 
 HOURS = ["lagtime", "lagtime2", "lagtime3"]
@@ -319,14 +319,12 @@ def queries() -> dict[str, Query]:
         "filter_answered": _from_log(history.answered),
         "repeat_attempts": _from_log(history.repeat_attempts),
         "fill_constant": _from_log(
-            lambda log: log.select(
-                "row_id", fn.had_explanation().alias("prior_question_had_explanation")
+            lambda log: log.selectExpr(
+                "row_id", f"{fn.had_explanation()} as prior_question_had_explanation"
             )
         ),
         "fill_tags": _from_questions(
-            lambda q: q.select(
-                "question_id", F.coalesce("tags", F.lit(schemas.MISSING_TAGS)).alias("tags")
-            )
+            lambda q: q.selectExpr("question_id", f"{fn.filled_tags()} as tags")
         ),
         "fill_global_mean": _from_log(fill_global_mean),
         "lecture_type_normalize": lambda spark, d: lectures.normalize_types(
@@ -334,16 +332,13 @@ def queries() -> dict[str, Query]:
         ),
         "lecture_one_hot": lambda spark, d: lectures.one_hot(fixtures.lectures(spark, d)),
         "ms_to_hours": _from_log(
-            lambda log: history.answered(log).select(
-                "row_id", fn.to_hours(F.col("timestamp")).alias("timestamp")
+            lambda log: history.answered(log).selectExpr(
+                "row_id", f"{fn.hours('timestamp')} as timestamp"
             )
         ),
         "cast_schema": _from_log(cast_schema),
         "part_bundle_key": _from_questions(
-            lambda q: q.select(
-                "question_id",
-                fn.part_bundle_key(F.col("part"), F.col("bundle_id")).alias("part_bundle_id"),
-            )
+            lambda q: q.selectExpr("question_id", f"{fn.part_bundle_key()} as part_bundle_id")
         ),
         "feature_select": _from_log(feature_select),
         # joins
@@ -436,8 +431,8 @@ def queries() -> dict[str, Query]:
             ).select("question_id", *schemas.TAG_COLUMNS)
         ),
         "safe_ratio": _from_log(
-            lambda log: history.explanation_totals(log).select(
-                "user_id", fn.ratio(F.col("count") - F.col("sum"), F.col("sum")).alias("ratio")
+            lambda log: history.explanation_totals(log).selectExpr(
+                "user_id", f"{fn.ratio('(count - sum)', 'sum')} as ratio"
             )
         ),
         # samples and splits

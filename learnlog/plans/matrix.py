@@ -3,12 +3,10 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from learnlog import schemas
 from learnlog.operators.encodings import attach, container_stats, content_stats
-from learnlog.operators.history import answered, global_means, history
+from learnlog.operators.history import answered, global_means, history, replaced
 from learnlog.operators.ordered import DEFAULT_LIMITS, SliceLimits
 from learnlog.operators.questions import question_features
 from learnlog.sources.tables import materialize
@@ -41,7 +39,7 @@ def fit(
     containers = materialize(container_stats(log), "containers")
     features = question_features(questions, communities, contents)
     if seen_only:
-        features = features.where(F.col("content_correct_count").isNotNull())
+        features = features.where("content_correct_count is not null")
     return Encodings(means, contents, containers, materialize(features, "questions"))
 
 
@@ -79,9 +77,9 @@ def select_features(rows: DataFrame, features: list[str] | None = None) -> DataF
     return rows.select("row_id", *(features or schemas.FEATURES), schemas.TARGET)
 
 
-def cast_columns(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
+def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the named columns; fractions are truncated toward zero by integer types."""
-    return df.withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
+    return replaced(df, {name: f"cast({name} as {kind})" for name, kind in types.items()})
 
 
 def labelled_questions(log: DataFrame, questions: DataFrame) -> DataFrame:

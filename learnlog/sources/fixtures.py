@@ -5,7 +5,6 @@ join and no aggregate, so a query's cost is the operator's own.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 EPOCH_MS = 1704067200000  # 2024-01-01T00:00:00Z
 ID_SHIFT = 5  # contents below it have no question and no lecture row
@@ -13,62 +12,46 @@ ID_SHIFT = 5  # contents below it have no question and no lecture row
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    ts = F.col("ts").cast("timestamp")
-    lecture = F.col("event_type") == "signup"
-    value = F.col("value")
-    return events.select(
-        F.col("event_id").alias("row_id"),
-        (F.unix_millis(ts) - EPOCH_MS).alias("timestamp"),
+    ts = "cast(ts as timestamp)"
+    return events.selectExpr(
+        "event_id as row_id",
+        f"unix_millis({ts}) - {EPOCH_MS} as timestamp",
         "user_id",
-        F.get_json_object("props", "$.k").cast("long").alias("content_id"),
-        F.when(lecture, 1).otherwise(0).alias("content_type_id"),
-        F.hour(ts).cast("long").alias("task_container_id"),
-        F.when(lecture, -1)
-        .when(F.col("event_type").isin("click", "purchase"), 1)
-        .otherwise(0)
-        .alias("answered_correctly"),
-        F.when(value >= 2, value * 1000).alias("prior_question_elapsed_time"),
-        F.when(value >= 1, F.minute(ts) % 3 == 0).alias("prior_question_had_explanation"),
+        "cast(get_json_object(props, '$.k') as bigint) as content_id",
+        "case when event_type = 'signup' then 1 else 0 end as content_type_id",
+        f"cast(hour({ts}) as bigint) as task_container_id",
+        "case when event_type = 'signup' then -1 when event_type in ('click', 'purchase') then 1"
+        " else 0 end as answered_correctly",
+        "case when value >= 2 then value * 1000 end as prior_question_elapsed_time",
+        f"case when value >= 1 then minute({ts}) % 3 = 0 end as prior_question_had_explanation",
     )
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    key, size = F.col("p_partkey"), F.col("p_size")
-    tags = F.concat_ws(
-        " ",
-        ((key * 37) % 188).cast("string"),
-        ((key * 11 + size) % 188).cast("string"),
-        (size * 3).cast("string"),
+    tags = (
+        "concat_ws(' ', cast((p_partkey * 37) % 188 as string), "
+        "cast((p_partkey * 11 + p_size) % 188 as string), cast(p_size * 3 as string))"
     )
-    return part.select(
-        (key + ID_SHIFT).alias("question_id"),
-        F.substring("p_brand", 7, 10).cast("long").alias("bundle_id"),
-        (size % 7 + 1).alias("part"),
-        F.when(size % 10 != 0, tags).alias("tags"),
+    return spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        f"p_partkey + {ID_SHIFT} as question_id",
+        "cast(substring(p_brand, 7) as bigint) as bundle_id",
+        "p_size % 7 + 1 as part",
+        f"case when p_size % 10 <> 0 then {tags} end as tags",
     )
 
 
 def lectures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    key, size = F.col("p_partkey"), F.col("p_size")
-    kind = (
-        F.when(key % 4 == 0, "concept")
-        .when(key % 4 == 1, "intention")
-        .when(key % 4 == 2, "solving question")
-        .otherwise("starter")
-    )
-    return part.select(
-        (key + ID_SHIFT).alias("lecture_id"),
-        size.alias("tag"),
-        (size % 7 + 1).alias("part"),
-        kind.alias("type_of"),
+    return spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        f"p_partkey + {ID_SHIFT} as lecture_id",
+        "p_size as tag",
+        "p_size % 7 + 1 as part",
+        "case p_partkey % 4 when 0 then 'concept' when 1 then 'intention'"
+        " when 2 then 'solving question' else 'starter' end as type_of",
     )
 
 
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return part.where(F.col("p_type") != "ECONOMY").select(
-        (F.col("p_partkey") + ID_SHIFT).alias("question_id"),
-        (F.col("p_partkey") % 5).cast("int").alias("community"),
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_type <> 'ECONOMY'")
+    return part.selectExpr(
+        f"p_partkey + {ID_SHIFT} as question_id", "cast(p_partkey % 5 as int) as community"
     )
