@@ -47,13 +47,9 @@ def container_stats(log: DataFrame) -> DataFrame:
     )
 
 
-def content_stats(log: DataFrame, means: DataFrame) -> DataFrame:
-    """Per content, in one pass. The ``_std`` column holds the sample variance.
-
-    The elapsed time is averaged as if filled by its mean: the missing ones add
-    the mean once each.
-    """
-    stats = answered(log).groupBy("content_id").agg(
+def content_sums(log: DataFrame) -> DataFrame:
+    """Per content, in one pass: all that :func:`content_stats` needs of the log."""
+    return answered(log).groupBy("content_id").agg(
         *_aggregates(
             {
                 **_target_counts("content_correctness_std"),
@@ -64,7 +60,15 @@ def content_stats(log: DataFrame, means: DataFrame) -> DataFrame:
             }
         )
     )
-    return stats.crossJoin(F.broadcast(means.select("elapsed_mean"))).selectExpr(
+
+
+def content_stats(sums: DataFrame, means: DataFrame) -> DataFrame:
+    """Statistics from :func:`content_sums`. ``_std`` holds the sample variance.
+
+    The elapsed time is averaged as if filled by its mean: the missing ones add
+    the mean once each.
+    """
+    return sums.crossJoin(F.broadcast(means.select("elapsed_mean"))).selectExpr(
         "content_id",
         "content_explation_false_mean",
         "content_explation_true_mean",

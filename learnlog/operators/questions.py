@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from learnlog import schemas
 from learnlog.functions.columns import filled_tags, part_bundle_key, tag_band
 from learnlog.operators.ordered import running_totals
-from learnlog.sources.tables import materialize
+from learnlog.sources.tables import concurrently, materialize
 
 STAT_COLUMNS = [
     "content_explation_false_mean",
@@ -100,18 +100,27 @@ def with_question_stats(questions: DataFrame, contents: DataFrame) -> DataFrame:
     """
     joined = with_content_stats(questions, contents)
     rates = with_content_stats(questions.select("question_id", "part", "bundle_id"), contents)
-    parts = materialize(part_stats(rates), "parts")
-    bundles = materialize(bundle_stats(rates), "bundles")
+    parts, bundles = concurrently(
+        lambda: materialize(part_stats(rates), "parts"),
+        lambda: materialize(bundle_stats(rates), "bundles"),
+    )
     return joined.join(parts, "part", "left").join(bundles, "bundle_id", "left")
 
 
+def tag_codes(questions: DataFrame) -> DataFrame:
+    """The codes of all tag bands, written."""
+    return materialize(label_codes(tag_bands(questions), schemas.TAG_COLUMNS), "labels")
+
+
 def question_features(
-    questions: DataFrame, communities: DataFrame, contents: DataFrame
+    questions: DataFrame,
+    communities: DataFrame,
+    contents: DataFrame,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """All question features, one row per question, keyed ``content_id``."""
+    codes = codes or tag_codes(questions)
     rows = with_question_stats(join_communities(questions, communities), contents)
-    # Codes come from the bare question table: the joins add no label.
-    codes = materialize(label_codes(tag_bands(questions), schemas.TAG_COLUMNS), "labels")
     rows = label_encode(tag_bands(rows).drop("tags"), schemas.TAG_COLUMNS, codes)
     rows = rows.selectExpr("*", f"{part_bundle_key()} as part_bundle_id")
     return rows.select(*schemas.QUESTION_COLUMNS)

@@ -42,8 +42,7 @@ def _log(spark, d):
 
 
 def _contents(spark, d):
-    log = _log(spark, d)
-    return encodings.content_stats(log, matrix.fit_means(log))
+    return matrix.fit_contents(_log(spark, d))[1]
 
 
 def _matrix(spark, d, features=None):
@@ -248,8 +247,8 @@ def _holdout(spark: SparkSession, d: str) -> DataFrame:
     encoded = matrix.fit(
         log, fixtures.questions(spark, d), fixtures.communities(spark, d), seen_only=True
     )
-    rows = matrix.join_questions(matrix.history_features(log, encoded), encoded.questions)
-    return gbt.assemble(splits.holdout_split(rows, SEED), schemas.FEATURES)
+    rows = splits.holdout_split(matrix.labelled_features(log, encoded), SEED)
+    return gbt.assemble(rows, schemas.FEATURES)
 
 
 def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
@@ -293,9 +292,7 @@ def tuning_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def history_features(log: DataFrame) -> DataFrame:
-    means = matrix.fit_means(log)
-    rows = encodings.with_container_stats(history.history(log, means), log)
-    rows = rows.select("row_id", *schemas.HISTORY_COLUMNS)
+    rows = matrix.fit_history(log)
     floats = ["task_container_std", "prior_question_elapsed_time"]
     return rounded(rounded(rows, 8, *HOURS), 6, *floats)
 

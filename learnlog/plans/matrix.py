@@ -5,16 +5,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from learnlog import schemas
-from learnlog.operators.encodings import attach, container_stats, content_stats
+from learnlog.operators.encodings import attach, container_stats, content_stats, content_sums
 from learnlog.operators.history import answered, global_means, history, replaced
 from learnlog.operators.ordered import DEFAULT_LIMITS, SliceLimits
-from learnlog.operators.questions import question_features
-from learnlog.sources.tables import materialize
+from learnlog.operators.questions import question_features, tag_codes
+from learnlog.sources.tables import concurrently, materialize
 
 
 @dataclass(frozen=True)
 class Encodings:
-    """Everything fitted on a log, as scans of written tables."""
+    """Everything fitted on a log, from written tables."""
 
     means: DataFrame
     contents: DataFrame
@@ -26,6 +26,14 @@ def fit_means(log: DataFrame) -> DataFrame:
     return materialize(global_means(log), "means")
 
 
+def fit_contents(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The means and the content statistics that use them."""
+    means, sums = concurrently(
+        lambda: fit_means(log), lambda: materialize(content_sums(log), "contents")
+    )
+    return means, content_stats(sums, means)
+
+
 def fit(
     log: DataFrame, questions: DataFrame, communities: DataFrame, seen_only: bool = False
 ) -> Encodings:
@@ -34,28 +42,49 @@ def fit(
     ``seen_only`` keeps the features of the questions answered in ``log``: enough
     for joining to the same log, and a smaller table to join.
     """
-    means = fit_means(log)
-    contents = materialize(content_stats(log, means), "contents")
-    containers = materialize(container_stats(log), "containers")
-    features = question_features(questions, communities, contents)
+    (means, contents), containers, codes = concurrently(
+        lambda: fit_contents(log),
+        lambda: materialize(container_stats(log), "containers"),
+        lambda: tag_codes(questions),
+    )
+    features = question_features(questions, communities, contents, codes)
     if seen_only:
         features = features.where("content_correct_count is not null")
     return Encodings(means, contents, containers, materialize(features, "questions"))
 
 
 def history_features(
-    log: DataFrame, encodings: Encodings, limits: SliceLimits = DEFAULT_LIMITS
+    log: DataFrame,
+    means: DataFrame,
+    containers: DataFrame,
+    limits: SliceLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``row_id`` and the 27 interaction feature columns."""
-    rows = attach(history(log, encodings.means, limits), encodings.containers, "task_container_id")
+    rows = attach(history(log, means, limits), containers, "task_container_id")
     return rows.select("row_id", *schemas.HISTORY_COLUMNS)
 
 
+def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
+    """The interaction features of a log with the means and statistics of the same log."""
+    means, containers = concurrently(
+        lambda: fit_means(log), lambda: materialize(container_stats(log), "containers")
+    )
+    return history_features(log, means, containers, limits)
+
+
 def join_questions(rows: DataFrame, questions: DataFrame) -> DataFrame:
     """Rows with the features of their question; NULLs without a question row."""
     return attach(rows, questions, "content_id")
 
 
+def labelled_features(
+    log: DataFrame, encodings: Encodings, limits: SliceLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Interaction and question features of every answered interaction."""
+    rows = history_features(log, encodings.means, encodings.containers, limits)
+    return join_questions(rows, encodings.questions)
+
+
 def training_matrix(
     log: DataFrame,
     questions: DataFrame,
@@ -69,8 +98,7 @@ def training_matrix(
     Pass ``encodings`` fitted on other rows for features without look-ahead.
     """
     encodings = encodings or fit(log, questions, communities, seen_only=True)
-    rows = join_questions(history_features(log, encodings, limits), encodings.questions)
-    return select_features(rows, features)
+    return select_features(labelled_features(log, encodings, limits), features)
 
 
 def select_features(rows: DataFrame, features: list[str] | None = None) -> DataFrame:

@@ -2,9 +2,15 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 _SETTING = "spark.checkpoint.dir"
 
 
@@ -38,3 +44,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/learnlog-{app}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(*builds: Callable[[], Result]) -> list[Result]:
+    """Run independent builds at once, so that their small jobs share the cluster."""
+    with ThreadPoolExecutor(len(builds)) as pool:
+        running = [pool.submit(inheritable_thread_target(build)) for build in builds]
+        return [build.result() for build in running]
