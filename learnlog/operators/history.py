@@ -23,6 +23,7 @@ from learnlog.operators.ordered import (
     split_heavy,
     window,
 )
+from learnlog.sources.tables import concurrently, materialize
 
 # Gap features by how many answers they look back.
 LAGS = {1: "lagtime", 2: "lagtime2", 3: "lagtime3"}
@@ -87,19 +88,29 @@ def _add(
     return joined.selectExpr(*[f"{sums[c]} as {c}" if c in sums else c for c in columns])
 
 
-def _count_all_sliced(sliced: DataFrame) -> DataFrame:
-    carried = carried_sums(sliced, ["user_id"], _ALL_TOTALS)
+def _count_all_sliced(sliced: DataFrame, carried: DataFrame) -> DataFrame:
     return _add(_count_all(sliced, ["user_id", SLICE]), carried, ["user_id"], _ALL_TOTALS)
 
 
+def _carried_counts(sliced: DataFrame) -> DataFrame:
+    return materialize(carried_sums(sliced, ["user_id"], _ALL_TOTALS), "carried-counts")
+
+
 def _count_answered_sliced(sliced: DataFrame) -> DataFrame:
     questions = answered(sliced)
     pair = ["user_id", "content_id"]
-    carried = carried_sums(questions, ["user_id"], _ANSWER_TOTALS)
-    attempts = carried_sums(questions, pair, _ATTEMPT_TOTALS)
-    tail = carried_tail(questions, "user_id", ["timestamp", _ELAPSED], _DEPTH, "_tail")
+    edges = ["timestamp", _ELAPSED]
+    # Written, so that each join below is planned by the true size: a broadcast
+    # where there are few slices, else a join on the slices' own partitioning.
+    counts, carried, attempts, tail = concurrently(
+        sliced.sparkSession,
+        lambda: _carried_counts(sliced),
+        lambda: materialize(carried_sums(questions, ["user_id"], _ANSWER_TOTALS), "carried"),
+        lambda: materialize(carried_sums(questions, pair, _ATTEMPT_TOTALS), "attempts"),
+        lambda: materialize(carried_tail(questions, "user_id", edges, _DEPTH, "_tail"), "tails"),
+    )
 
-    rows = _count_answered(answered(_count_all_sliced(sliced)), ["user_id", SLICE])
+    rows = _count_answered(answered(_count_all_sliced(sliced, counts)), ["user_id", SLICE])
 
     def lagged(column: str, source: str, k: int) -> str:
         # Rows at the start of a slice look back into the carried tail.
@@ -130,7 +141,7 @@ def interaction_counts(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) ->
     ordinary, sliced = split_heavy(log, limits)
     rows = _count_all(ordinary, ["user_id"])
     if sliced is not None:
-        rows = rows.unionByName(_count_all_sliced(sliced).drop(SLICE))
+        rows = rows.unionByName(_count_all_sliced(sliced, _carried_counts(sliced)).drop(SLICE))
     return _with_count_ratios(rows)
 
 

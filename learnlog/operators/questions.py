@@ -101,6 +101,7 @@ def with_question_stats(questions: DataFrame, contents: DataFrame) -> DataFrame:
     joined = with_content_stats(questions, contents)
     rates = with_content_stats(questions.select("question_id", "part", "bundle_id"), contents)
     parts, bundles = concurrently(
+        questions.sparkSession,
         lambda: materialize(part_stats(rates), "parts"),
         lambda: materialize(bundle_stats(rates), "bundles"),
     )

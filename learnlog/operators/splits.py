@@ -59,9 +59,10 @@ def _cut(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> DataFrame:
     )
 
 
-def _not_after_cut(drawn_text: str, id_col: str) -> str:
-    inside = f"{drawn_text} < cut_draw or ({drawn_text} = cut_draw and {id_col} <= cut_id)"
-    return f"cut_draw is null or {inside}"
+def _kept(drawn_rows: DataFrame, id_col: str) -> DataFrame:
+    """Rows with ``draw`` and the cut of their group that are not after the cut."""
+    inside = f"draw < cut_draw or (draw = cut_draw and {id_col} <= cut_id)"
+    return drawn_rows.where(f"cut_draw is null or {inside}").drop("draw", "cut_draw", "cut_id")
 
 
 def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "row_id") -> DataFrame:
@@ -77,11 +78,8 @@ def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "row_id") -> DataFr
     cut = _cut(drawn_rows, n, []).agg(
         F.min("cut_draw").alias("cut_draw"), F.min("cut_id").alias("cut_id")
     )
-    return (
-        df.crossJoin(F.broadcast(cut))
-        .where(_not_after_cut(row_draw(seed, id_col), id_col))
-        .drop("cut_draw", "cut_id")
-    )
+    offered = df.selectExpr("*", f"{row_draw(seed, id_col)} as draw")
+    return _kept(offered.crossJoin(F.broadcast(cut)), id_col)
 
 
 # --- fractions ------------------------------------------------------------------
@@ -172,12 +170,10 @@ def repeated_folds(
         "fold", "id", f"{row_draw(fold_seed, 'id')} as draw"
     )
     cuts = _cut(drawn_rows, n, ["fold"])  # at most one row per fold
-    sampled = (
-        df.selectExpr("*", fold)
-        .join(F.broadcast(cuts), "fold", "left")
-        .where(_not_after_cut(row_draw(fold_seed, id_col), id_col))
-        .drop("cut_draw", "cut_id")
+    offered = df.selectExpr("*", fold).selectExpr(
+        "*", f"{row_draw(fold_seed, id_col)} as draw"
     )
+    sampled = _kept(offered.join(F.broadcast(cuts), "fold", "left"), id_col)
     return _mark(sampled, fold_seed, user_share, row_share, id_col)
 
 

@@ -241,22 +241,25 @@ def split_counts(log: DataFrame) -> DataFrame:
 # --- models -----------------------------------------------------------------------
 
 
-def _holdout(spark: SparkSession, d: str) -> DataFrame:
-    """The model inputs of one split, written once: fits read them many times."""
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
     log = _log(spark, d)
     encoded = matrix.fit(
         log, fixtures.questions(spark, d), fixtures.communities(spark, d), seen_only=True
     )
-    rows = splits.holdout_split(matrix.labelled_features(log, encoded), SEED)
-    return gbt.assemble(rows, schemas.FEATURES)
+    return matrix.labelled_features(log, encoded)
+
+
+def _holdout(spark: SparkSession, d: str) -> DataFrame:
+    """The model inputs of one split, written once: fits read them many times."""
+    return gbt.assemble(splits.holdout_split(_labelled(spark, d), SEED), schemas.FEATURES)
 
 
 def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
-    rows = _holdout(spark, d)
-    model = gbt.fit(rows, TREES)
-    scored = gbt.score(model, rows)
-    by_split = metrics.roc_auc(scored, within=["split"])
-    return by_split.withColumn("trees", F.lit(model.getNumTrees))
+    """One model per fold, and its AUC on the rows it was and was not trained on."""
+    folds = splits.repeated_folds(_labelled(spark, d), SEED)
+    rows = gbt.assemble(folds, schemas.FEATURES)
+    scored = gbt.score_folds(gbt.fit_folds(rows, TREES), rows)
+    return metrics.roc_auc(scored, within=["fold", "split"])
 
 
 def gbt_score(spark: SparkSession, d: str) -> DataFrame:

@@ -29,7 +29,9 @@ def fit_means(log: DataFrame) -> DataFrame:
 def fit_contents(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The means and the content statistics that use them."""
     means, sums = concurrently(
-        lambda: fit_means(log), lambda: materialize(content_sums(log), "contents")
+        log.sparkSession,
+        lambda: fit_means(log),
+        lambda: materialize(content_sums(log), "contents"),
     )
     return means, content_stats(sums, means)
 
@@ -43,6 +45,7 @@ def fit(
     for joining to the same log, and a smaller table to join.
     """
     (means, contents), containers, codes = concurrently(
+        log.sparkSession,
         lambda: fit_contents(log),
         lambda: materialize(container_stats(log), "containers"),
         lambda: tag_codes(questions),
@@ -67,7 +70,9 @@ def history_features(
 def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """The interaction features of a log with the means and statistics of the same log."""
     means, containers = concurrently(
-        lambda: fit_means(log), lambda: materialize(container_stats(log), "containers")
+        log.sparkSession,
+        lambda: fit_means(log),
+        lambda: materialize(container_stats(log), "containers"),
     )
     return history_features(log, means, containers, limits)
 

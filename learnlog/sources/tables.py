@@ -46,8 +46,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def concurrently(*builds: Callable[[], Result]) -> list[Result]:
+def concurrently(
+    spark: SparkSession, *builds: Callable[[], Result]
+) -> list[Result]:
     """Run independent builds at once, so that their small jobs share the cluster."""
     with ThreadPoolExecutor(len(builds)) as pool:
-        running = [pool.submit(inheritable_thread_target(build)) for build in builds]
+        running = [pool.submit(inheritable_thread_target(spark)(build)) for build in builds]
         return [build.result() for build in running]
