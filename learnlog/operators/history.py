@@ -255,11 +255,9 @@ def add_explanation_counts(runs: DataFrame) -> DataFrame:
     return replaced(runs, _explanation_counts())
 
 
-def history(
-    log: DataFrame, means: DataFrame, limits: SliceLimits = DEFAULT_LIMITS
-) -> DataFrame:
-    """All history features, one row per answered interaction, keyed by ``row_id``."""
-    rows = user_runs(log, limits).crossJoin(F.broadcast(means))
+def history(runs: DataFrame, means: DataFrame) -> DataFrame:
+    """All history features of :func:`user_runs`, filled, keyed by ``row_id``."""
+    rows = runs.crossJoin(F.broadcast(means))
     computed = {
         **_lagtimes(),
         **_elapsed(),

@@ -91,20 +91,30 @@ def bundle_stats(questions: DataFrame) -> DataFrame:
     )
 
 
-def with_question_stats(questions: DataFrame, contents: DataFrame) -> DataFrame:
-    """Attach content, part and bundle statistics to the question table.
+def rollups(questions: DataFrame, contents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The part and bundle statistics, written.
 
-    Parts and bundles are far fewer than questions, so a plain shuffle join
-    would put all questions of a large part into one task. Their tables are
-    written first and the join knows how small they are.
+    Parts and bundles are far fewer than questions, so a plain shuffle join would
+    put all questions of a large part into one task. Written, the tables are known
+    to be small.
     """
-    joined = with_content_stats(questions, contents)
     rates = with_content_stats(questions.select("question_id", "part", "bundle_id"), contents)
     parts, bundles = concurrently(
         questions.sparkSession,
         lambda: materialize(part_stats(rates), "parts"),
         lambda: materialize(bundle_stats(rates), "bundles"),
     )
+    return parts, bundles
+
+
+def with_question_stats(
+    questions: DataFrame,
+    contents: DataFrame,
+    rolled_up: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """Attach content, part and bundle statistics to the question table."""
+    parts, bundles = rolled_up or rollups(questions, contents)
+    joined = with_content_stats(questions, contents)
     return joined.join(parts, "part", "left").join(bundles, "bundle_id", "left")
 
 
@@ -118,10 +128,15 @@ def question_features(
     communities: DataFrame,
     contents: DataFrame,
     codes: DataFrame | None = None,
+    rolled_up: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """All question features, one row per question, keyed ``content_id``."""
+    """All question features, one row per question, keyed ``content_id``.
+
+    ``codes`` and ``rolled_up`` may be passed where they are already built.
+    """
     codes = codes or tag_codes(questions)
-    rows = with_question_stats(join_communities(questions, communities), contents)
+    rows = join_communities(questions, communities)
+    rows = with_question_stats(rows, contents, rolled_up)
     rows = label_encode(tag_bands(rows).drop("tags"), schemas.TAG_COLUMNS, codes)
     rows = rows.selectExpr("*", f"{part_bundle_key()} as part_bundle_id")
     return rows.select(*schemas.QUESTION_COLUMNS)

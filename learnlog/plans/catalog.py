@@ -242,11 +242,9 @@ def split_counts(log: DataFrame) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    log = _log(spark, d)
-    encoded = matrix.fit(
-        log, fixtures.questions(spark, d), fixtures.communities(spark, d), seen_only=True
+    return matrix.fit_labelled(
+        _log(spark, d), fixtures.questions(spark, d), fixtures.communities(spark, d)
     )
-    return matrix.labelled_features(log, encoded)
 
 
 def _holdout(spark: SparkSession, d: str) -> DataFrame:

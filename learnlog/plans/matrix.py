@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame
 
 from learnlog import schemas
 from learnlog.operators.encodings import attach, container_stats, content_stats, content_sums
-from learnlog.operators.history import answered, global_means, history, replaced
+from learnlog.operators.history import (
+    answered,
+    global_means,
+    history,
+    replaced,
+    user_runs,
+)
 from learnlog.operators.ordered import DEFAULT_LIMITS, SliceLimits
-from learnlog.operators.questions import question_features, tag_codes
+from learnlog.operators.questions import question_features, rollups, tag_codes
 from learnlog.sources.tables import concurrently, materialize
 
 
@@ -44,13 +50,18 @@ def fit(
     ``seen_only`` keeps the features of the questions answered in ``log``: enough
     for joining to the same log, and a smaller table to join.
     """
-    (means, contents), containers, codes = concurrently(
+
+    def contents_and_rollups():
+        means, contents = fit_contents(log)
+        return means, contents, rollups(questions, contents)
+
+    (means, contents, rolled_up), containers, codes = concurrently(
         log.sparkSession,
-        lambda: fit_contents(log),
+        contents_and_rollups,
         lambda: materialize(container_stats(log), "containers"),
         lambda: tag_codes(questions),
     )
-    features = question_features(questions, communities, contents, codes)
+    features = question_features(questions, communities, contents, codes, rolled_up)
     if seen_only:
         features = features.where("content_correct_count is not null")
     return Encodings(means, contents, containers, materialize(features, "questions"))
@@ -63,18 +74,23 @@ def history_features(
     limits: SliceLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``row_id`` and the 27 interaction feature columns."""
-    rows = attach(history(log, means, limits), containers, "task_container_id")
+    return _finish(user_runs(log, limits), means, containers)
+
+
+def _finish(runs: DataFrame, means: DataFrame, containers: DataFrame) -> DataFrame:
+    rows = attach(history(runs, means), containers, "task_container_id")
     return rows.select("row_id", *schemas.HISTORY_COLUMNS)
 
 
 def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """The interaction features of a log with the means and statistics of the same log."""
-    means, containers = concurrently(
+    means, containers, runs = concurrently(
         log.sparkSession,
         lambda: fit_means(log),
         lambda: materialize(container_stats(log), "containers"),
+        lambda: user_runs(log, limits),
     )
-    return history_features(log, means, containers, limits)
+    return _finish(runs, means, containers)
 
 
 def join_questions(rows: DataFrame, questions: DataFrame) -> DataFrame:
@@ -90,6 +106,22 @@ def labelled_features(
     return join_questions(rows, encodings.questions)
 
 
+def fit_labelled(
+    log: DataFrame,
+    questions: DataFrame,
+    communities: DataFrame,
+    limits: SliceLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """All features of a log, with encodings fitted on the same log."""
+    encodings, runs = concurrently(
+        log.sparkSession,
+        lambda: fit(log, questions, communities, seen_only=True),
+        lambda: user_runs(log, limits),
+    )
+    rows = _finish(runs, encodings.means, encodings.containers)
+    return join_questions(rows, encodings.questions)
+
+
 def training_matrix(
     log: DataFrame,
     questions: DataFrame,
@@ -102,8 +134,11 @@ def training_matrix(
 
     Pass ``encodings`` fitted on other rows for features without look-ahead.
     """
-    encodings = encodings or fit(log, questions, communities, seen_only=True)
-    return select_features(labelled_features(log, encodings, limits), features)
+    if encodings is None:
+        rows = fit_labelled(log, questions, communities, limits)
+    else:
+        rows = labelled_features(log, encodings, limits)
+    return select_features(rows, features)
 
 
 def select_features(rows: DataFrame, features: list[str] | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ MIXED = ordered.SliceLimits(min_rows=120, max_users=1000, slice_rows=64)
 
 def features(spark, rows, limits):
     log = logs.frame(spark, rows)
-    result = history.history(log, matrix.fit_means(log), limits)
+    result = history.history(history.user_runs(log, limits), matrix.fit_means(log))
     return {r["row_id"]: r.asDict() for r in result.collect()}
 
 
@@ -87,7 +87,7 @@ def test_single_rows_leave_gaps_missing(spark):
 
 def test_empty_log(spark):
     log = logs.frame(spark, [])
-    assert history.history(log, matrix.fit_means(log)).count() == 0
+    assert history.history(history.user_runs(log), matrix.fit_means(log)).count() == 0
 
 
 def test_global_means_equal_the_windowed_means(spark):
