@@ -18,7 +18,7 @@ SAMPLE_ROWS = 12_000_000
 USER_SHARE = 0.08
 ROW_SHARE = 0.1
 FOLDS = 5
-_PREFIX = 5  # hex digits: at most 16 ** 5 groups
+_PREFIXES = (3, 6)  # hex digits: 16 ** 3 counts at each level
 
 
 def row_draw(seed: int | str, id_col: str = "row_id") -> str:
@@ -36,25 +36,35 @@ def holdout_draw(seed: int | str, id_col: str = "row_id") -> str:
 # --- exact samples --------------------------------------------------------------
 
 
+def _inside(drawn_rows: DataFrame, crossing: DataFrame, digits: int, within: Sequence[str]):
+    """Rows whose draw starts with the crossing prefix: one prefix per group."""
+    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {digits}) as prefix")
+    return prefixed.join(F.broadcast(crossing), [*within, "prefix"])
+
+
 def _cut(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> DataFrame:
     """The n-th row per group by (draw, id): ``cut_draw``, ``cut_id``.
 
-    Draws are counted per hash prefix (at most 16 ** 5 rows a group); only the
-    prefix in which the n-th row falls is ranked. No row if the group is smaller.
+    Rows are counted per draw prefix, first a short one, then a longer one inside
+    the prefix where the n-th row falls; only the rows of the last prefix, one in
+    16 ** 6, are ranked. No row if the group is smaller.
     """
-    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {_PREFIX}) as prefix")
-    counts = prefixed.groupBy(*within, "prefix").agg(F.expr("count(*) as rows"))
+    candidates = drawn_rows.selectExpr("*", "0L as taken")
     upto = window(within, "prefix", UP_TO_HERE)
-    crossing = (
-        counts.selectExpr("*", f"sum(rows) over {upto} as upto")
-        .where(f"upto >= {n} and upto - rows < {n}")
-        .selectExpr(*within, "prefix", "upto - rows as taken")
-    )
-    rank = f"row_number() over {window([*within, 'prefix'], 'draw, id')} as rank"
-    inside = prefixed.join(
-        F.broadcast(crossing), [*within, "prefix"]  # one row per group
-    ).selectExpr("*", rank)
-    return inside.where(f"rank + taken = {n}").selectExpr(
+    for digits in _PREFIXES:
+        counts = (
+            candidates.selectExpr(*within, "taken", f"substring(draw, 1, {digits}) as prefix")
+            .groupBy(*within, "taken", "prefix")
+            .agg(F.expr("count(*) as rows"))
+        )
+        crossing = (
+            counts.selectExpr("*", f"taken + sum(rows) over {upto} as upto")
+            .where(f"upto >= {n} and upto - rows < {n}")
+            .selectExpr(*within, "prefix", "upto - rows as taken")
+        )
+        candidates = _inside(drawn_rows, crossing, digits, within).drop("prefix")
+    rank = f"row_number() over {window([*within, 'taken'], 'draw, id')} as rank"
+    return candidates.selectExpr("*", rank).where(f"rank + taken = {n}").selectExpr(
         *within, "draw as cut_draw", "id as cut_id"
     )
 

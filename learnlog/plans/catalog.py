@@ -266,7 +266,7 @@ def gbt_score(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("row_id", schemas.TARGET, "score")
 
 
-def prep_pipeline(spark: SparkSession, d: str) -> DataFrame:
+def preprocess(spark: SparkSession, d: str) -> DataFrame:
     """Imputed and scaled inputs and the one-hot flag, before the classifier."""
     rows = _matrix(spark, d)
     fitted = prep.preprocessor().fit(rows)
@@ -457,7 +457,7 @@ def queries() -> dict[str, Query]:
         "tuning_matrix": tuning_matrix,
         "gbt_fit": gbt_fit,
         "gbt_score": gbt_score,
-        "prep_pipeline": prep_pipeline,
+        "preprocess": preprocess,
         "param_search": param_search,
         "best_params": best_params,
     }

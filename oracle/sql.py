@@ -516,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
         "question_features": _query(_FEATURES, "select * from question_features"),
         "training_matrix": _training(FEATURES),
         "tuning_matrix": _training(FEATURES.replace("content_correctness,\n", "\n", 1)),
-        "prep_pipeline": _query(
+        "preprocess": _query(
             _MATRIX,
             """,inputs as (
               select row_id, h.prior_question_had_explanation as flag,

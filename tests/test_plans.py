@@ -77,20 +77,17 @@ def test_samples_do_not_shuffle_the_rows(log):
     assert "TakeOrderedAndProject" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
-def test_no_window_gathers_the_log(spark, name):
-    """No unpartitioned window reads rows of the log, no Python runs per row."""
-    if name in ("gbt_fit", "gbt_score", "param_search", "best_params", "prep_pipeline"):
-        pytest.skip("fits models")
-    df = catalog.queries()[name](spark, SF_DIR)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "EvalPython" not in plan and "Cartesian" not in plan
-    for line in plan.splitlines():
-        if re.search(r"\bWindow \[", line) and "specifiedwindowframe" in line:
-            partition = re.search(r"windowspecdefinition\(([^,)]*)", line).group(1)
-            assert partition.split("#")[0] in (
-                "user_id", "content_id", "bundle_id", "column", "_range", "fold", "prefix",
-            ), line
+def test_results_do_not_depend_on_broadcasts(spark, log):
+    """Without automatic broadcasts the lookups shuffle, and nothing changes."""
+    questions, communities = fixtures.questions(spark, SF_DIR), fixtures.communities(spark, SF_DIR)
+    usual = sorted(map(str, matrix.training_matrix(log, questions, communities).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = matrix.training_matrix(log, questions, communities)
+        assert "SortMergeJoin" in plan_of(shuffled)
+        assert sorted(map(str, shuffled.collect())) == usual
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_heavy_user_is_not_in_one_task(spark, log):
