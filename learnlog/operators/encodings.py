@@ -1,8 +1,8 @@
 """Target statistics per task container and per content.
 
-``*_stats`` builds a small table from a log; ``attach`` joins it back. Fitting
-on the whole log repeats the usual look-ahead; fit on the training rows and
-attach to the others to avoid it.
+``*_sums`` reduces a log to a small table, ``*_stats`` turns that into statistics
+and ``attach`` joins them back. Fitting on the whole log repeats the usual
+look-ahead; fit on the training rows and attach to the others to avoid it.
 """
 
 from pyspark.sql import DataFrame
@@ -19,51 +19,67 @@ _PIVOT = {
     "content_explation_false_mean": f"avg({schemas.TARGET}) filter (where {_EXPLAINED} = 0)",
     "content_explation_true_mean": f"avg({schemas.TARGET}) filter (where {_EXPLAINED} = 1)",
 }
+_TARGET_SUMS = {
+    "s": f"sum({schemas.TARGET})",
+    "n": f"count({schemas.TARGET})",
+    "variance": f"var_samp({schemas.TARGET})",
+}
+_SUMS = {
+    **_TARGET_SUMS,
+    **_PIVOT,
+    "elapsed": f"coalesce(sum({_ELAPSED}), 0)",
+    "missing": f"count(*) filter (where {_ELAPSED} is null)",
+    "content_had_explanation_mean": f"avg({_EXPLAINED})",
+}
+# Values of grouping_id() for (content_id, task_container_id).
+_PER_CONTENT, _PER_CONTAINER, _OVERALL = 1, 2, 3
 
 
 def _aggregates(columns: dict[str, str]) -> list:
     return [F.expr(f"{total} as {name}") for name, total in columns.items()]
 
 
-def _target_counts(variance: str) -> dict[str, str]:
-    return {
-        "s": f"sum({schemas.TARGET})",
-        "n": f"count({schemas.TARGET})",
-        variance: f"var_samp({schemas.TARGET})",
-    }
+def container_sums(log: DataFrame) -> DataFrame:
+    return answered(log).groupBy("task_container_id").agg(*_aggregates(_TARGET_SUMS))
 
 
-def container_stats(log: DataFrame) -> DataFrame:
-    """Per task container. The ``_std`` column holds the sample variance."""
-    stats = answered(log).groupBy("task_container_id").agg(
-        *_aggregates(_target_counts("task_container_std"))
+def content_sums(log: DataFrame) -> DataFrame:
+    return answered(log).groupBy("content_id").agg(*_aggregates(_SUMS))
+
+
+def log_sums(log: DataFrame) -> DataFrame:
+    """The sums per content, per container and overall, from one scan of the log."""
+    keys = ["content_id", "task_container_id"]
+    grouped = answered(log).groupingSets([[keys[0]], [keys[1]], []], *keys)
+    return grouped.agg(*_aggregates({**_SUMS, "level": "int(grouping_id())"}))
+
+
+def split_sums(sums: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(contents, containers, overall) of :func:`log_sums`."""
+    return (
+        sums.where(f"level = {_PER_CONTENT}").drop("level", "task_container_id"),
+        sums.where(f"level = {_PER_CONTAINER}").select("task_container_id", *_TARGET_SUMS),
+        # One row, also for a log without answers.
+        sums.where(f"level = {_OVERALL}").agg(
+            F.expr("coalesce(max(n), 0) as n"),
+            F.expr(f"max({ratio('elapsed', '(n - missing)')}) as elapsed_mean"),
+        ),
     )
-    return stats.selectExpr(
+
+
+def container_stats(sums: DataFrame) -> DataFrame:
+    """Per task container. The ``_std`` column holds the sample variance."""
+    return sums.selectExpr(
         "task_container_id",
         "n - s as task_container_uncor_count",
         "s as task_container_cor_count",
-        "task_container_std",
+        "variance as task_container_std",
         f"{ratio('s', 'n')} as task_container_correctness",
     )
 
 
-def content_sums(log: DataFrame) -> DataFrame:
-    """Per content, in one pass: all that :func:`content_stats` needs of the log."""
-    return answered(log).groupBy("content_id").agg(
-        *_aggregates(
-            {
-                **_target_counts("content_correctness_std"),
-                **_PIVOT,
-                "elapsed": f"coalesce(sum({_ELAPSED}), 0)",
-                "missing": f"count(*) filter (where {_ELAPSED} is null)",
-                "content_had_explanation_mean": f"avg({_EXPLAINED})",
-            }
-        )
-    )
-
-
 def content_stats(sums: DataFrame, means: DataFrame) -> DataFrame:
-    """Statistics from :func:`content_sums`. ``_std`` holds the sample variance.
+    """Per content. The ``_std`` column holds the sample variance.
 
     The elapsed time is averaged as if filled by its mean: the missing ones add
     the mean once each.
@@ -73,7 +89,7 @@ def content_stats(sums: DataFrame, means: DataFrame) -> DataFrame:
         "content_explation_false_mean",
         "content_explation_true_mean",
         f"{ratio('s', 'n')} as content_correctness",
-        "content_correctness_std",
+        "variance as content_correctness_std",
         "n - s as content_uncorrect_count",
         "s as content_correct_count",
         "(elapsed + coalesce(missing * elapsed_mean, 0)) / n as content_elapsed_time_mean",
@@ -97,4 +113,5 @@ def attach(rows: DataFrame, stats: DataFrame, key: str) -> DataFrame:
 
 def with_container_stats(rows: DataFrame, log: DataFrame) -> DataFrame:
     """Rows with the container statistics of ``log``."""
-    return attach(rows, materialize(container_stats(log), "containers"), "task_container_id")
+    stats = materialize(container_stats(container_sums(log)), "containers")
+    return attach(rows, stats, "task_container_id")

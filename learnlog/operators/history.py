@@ -157,41 +157,50 @@ def user_runs(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame
 # --- means that fill the gaps ---------------------------------------------------
 
 
-def global_means(log: DataFrame) -> DataFrame:
-    """One row: the mean of each column that is filled by its mean.
+def lag_edges(log: DataFrame) -> DataFrame:
+    """One row: the sums of all lags and how many rows have none.
 
     No window over the log is needed. A user's lags telescope: the sum of
     ``x[i] - x[i-k]`` is the sum of the last k values minus that of the first k,
     so only the first and last three rows of each user count, and the rank filter
     drops all others before the shuffle.
     """
-    questions = answered(log).select("user_id", "row_id", "timestamp", _ELAPSED)
-    overall = questions.agg(F.expr("count(*) as n"), F.expr(f"avg({_ELAPSED}) as elapsed_mean"))
-
-    def edge(order: str, name: str) -> DataFrame:
-        rank = f"row_number() over {window(['user_id'], order)} as _rank"
-        rows = questions.selectExpr("*", rank).where(f"_rank <= {_DEPTH}")
-        # Exact sums: epoch-scale milliseconds over many users overflow a long.
-        ts = "cast(timestamp as decimal(20, 0))"
-        totals = {
-            **{f"ts{k}": f"sum({ts}) filter (where _rank <= {k})" for k in LAGS},
-            **{f"n{k}": f"count(*) filter (where _rank <= {k})" for k in LAGS},
-            "elapsed": f"coalesce(sum({_ELAPSED}) filter (where _rank = 1), 0)",
-            "nulls": f"count(*) filter (where _rank = 1 and {_ELAPSED} is null)",
-        }
-        return rows.agg(*[F.expr(f"{total} as {name}_{c}") for c, total in totals.items()])
-
-    edges = overall.crossJoin(F.broadcast(edge("row_id", "first"))).crossJoin(
-        F.broadcast(edge("row_id desc", "last"))
+    # Every row is offered twice, as one of the first (-1) and of the last (1).
+    ends = answered(log).selectExpr(
+        "user_id", "row_id", "timestamp", _ELAPSED, "explode(array(-1, 1)) as side"
     )
-    lag_means = [
-        f"{ratio(f'last_ts{k} - first_ts{k}', f'n - first_n{k}')} as {name}_mean"
-        for k, name in LAGS.items()
-    ]
+    rank = f"row_number() over {window(['user_id', 'side'], '_order')} as _rank"
+    ends = ends.selectExpr("*", "-side * row_id as _order").selectExpr("*", rank)
+    # Exact sums: epoch-scale milliseconds over many users overflow a long.
+    ts = "side * cast(timestamp as decimal(20, 0))"
+    totals = {
+        **{f"gap{k}": f"sum({ts}) filter (where _rank <= {k})" for k in LAGS},
+        **{f"short{k}": f"count(*) filter (where side = -1 and _rank <= {k})" for k in LAGS},
+        "elapsed_gap": f"coalesce(sum(side * {_ELAPSED}) filter (where _rank = 1), 0)",
+        "null_gap": f"coalesce(sum(side) filter (where _rank = 1 and {_ELAPSED} is null), 0)",
+    }
+    return ends.where(f"_rank <= {_DEPTH}").agg(
+        *[F.expr(f"{total} as {name}") for name, total in totals.items()]
+    )
+
+
+def overall_sums(log: DataFrame) -> DataFrame:
+    """One row: the number of answers and the mean elapsed time."""
+    return answered(log).agg(F.expr("count(*) as n"), F.expr(f"avg({_ELAPSED}) as elapsed_mean"))
+
+
+def means_of(overall: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row: the mean of each column that is filled by its mean."""
+    lag_means = [f"{ratio(f'gap{k}', f'n - short{k}')} as {name}_mean" for k, name in LAGS.items()]
     # A missing first or last value counts as the mean.
-    filled = "coalesce((last_nulls - first_nulls) * elapsed_mean, 0)"
-    delta = ratio(f"(last_elapsed - first_elapsed + {filled})", "n - first_n1")
-    return edges.selectExpr("elapsed_mean", *lag_means, f"{delta} as delta_mean")
+    delta = "(elapsed_gap + coalesce(null_gap * elapsed_mean, 0))"
+    return overall.crossJoin(F.broadcast(edges)).selectExpr(
+        "elapsed_mean", *lag_means, f"{ratio(delta, 'n - short1')} as delta_mean"
+    )
+
+
+def global_means(log: DataFrame) -> DataFrame:
+    return means_of(overall_sums(log), lag_edges(log))
 
 
 # --- features -------------------------------------------------------------------

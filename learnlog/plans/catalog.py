@@ -42,7 +42,8 @@ def _log(spark, d):
 
 
 def _contents(spark, d):
-    return matrix.fit_contents(_log(spark, d))[1]
+    log = _log(spark, d)
+    return encodings.content_stats(encodings.content_sums(log), history.overall_sums(log))
 
 
 def _matrix(spark, d, features=None):
@@ -107,7 +108,8 @@ def lookup_task_container(log: DataFrame) -> DataFrame:
 
 
 def lookup_question_stats(spark: SparkSession, d: str) -> DataFrame:
-    rows = questions.with_question_stats(fixtures.questions(spark, d), _contents(spark, d))
+    contents = matrix.fit_log(_log(spark, d))[1]
+    rows = questions.with_question_stats(fixtures.questions(spark, d), contents)
     return rounded(
         rows.drop("tags"), 6, *CONTENT_FLOATS, *PART_FLOATS, "bundle_correctness_mean"
     )
@@ -299,10 +301,10 @@ def history_features(log: DataFrame) -> DataFrame:
 
 
 def question_features(spark: SparkSession, d: str) -> DataFrame:
-    rows = questions.question_features(
-        fixtures.questions(spark, d), fixtures.communities(spark, d), _contents(spark, d)
+    encoded = matrix.fit(
+        _log(spark, d), fixtures.questions(spark, d), fixtures.communities(spark, d)
     )
-    return rounded(rows, 6, *CONTENT_FLOATS, *PART_FLOATS, "bundle_correctness_mean")
+    return rounded(encoded.questions, 6, *CONTENT_FLOATS, *PART_FLOATS, "bundle_correctness_mean")
 
 
 def queries() -> dict[str, Query]:
@@ -370,7 +372,9 @@ def queries() -> dict[str, Query]:
         ),
         "user_explanation_totals": _from_log(history.explanation_totals),
         "task_container_stats": _from_log(
-            lambda log: rounded(encodings.container_stats(log), 6, "task_container_std")
+            lambda log: rounded(
+                encodings.container_stats(encodings.container_sums(log)), 6, "task_container_std"
+            )
         ),
         "bundle_size": _from_questions(
             lambda q: questions.with_bundle_size(q).select(

@@ -5,11 +5,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from learnlog import schemas
-from learnlog.operators.encodings import attach, container_stats, content_stats, content_sums
+from learnlog.operators.encodings import (
+    attach,
+    container_stats,
+    content_stats,
+    log_sums,
+    split_sums,
+)
 from learnlog.operators.history import (
     answered,
     global_means,
     history,
+    lag_edges,
+    means_of,
     replaced,
     user_runs,
 )
@@ -32,14 +40,16 @@ def fit_means(log: DataFrame) -> DataFrame:
     return materialize(global_means(log), "means")
 
 
-def fit_contents(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The means and the content statistics that use them."""
-    means, sums = concurrently(
+def fit_log(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(means, content statistics, container statistics) from two scans of the log."""
+    sums, edges = concurrently(
         log.sparkSession,
-        lambda: fit_means(log),
-        lambda: materialize(content_sums(log), "contents"),
+        lambda: materialize(log_sums(log), "sums"),
+        lambda: materialize(lag_edges(log), "edges"),
     )
-    return means, content_stats(sums, means)
+    contents, containers, overall = split_sums(sums)
+    means = means_of(overall, edges)
+    return means, content_stats(contents, means), container_stats(containers)
 
 
 def fit(
@@ -51,15 +61,12 @@ def fit(
     for joining to the same log, and a smaller table to join.
     """
 
-    def contents_and_rollups():
-        means, contents = fit_contents(log)
-        return means, contents, rollups(questions, contents)
+    def from_log():
+        means, contents, containers = fit_log(log)
+        return means, contents, containers, rollups(questions, contents)
 
-    (means, contents, rolled_up), containers, codes = concurrently(
-        log.sparkSession,
-        contents_and_rollups,
-        lambda: materialize(container_stats(log), "containers"),
-        lambda: tag_codes(questions),
+    (means, contents, containers, rolled_up), codes = concurrently(
+        log.sparkSession, from_log, lambda: tag_codes(questions)
     )
     features = question_features(questions, communities, contents, codes, rolled_up)
     if seen_only:
@@ -84,11 +91,8 @@ def _finish(runs: DataFrame, means: DataFrame, containers: DataFrame) -> DataFra
 
 def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """The interaction features of a log with the means and statistics of the same log."""
-    means, containers, runs = concurrently(
-        log.sparkSession,
-        lambda: fit_means(log),
-        lambda: materialize(container_stats(log), "containers"),
-        lambda: user_runs(log, limits),
+    (means, _, containers), runs = concurrently(
+        log.sparkSession, lambda: fit_log(log), lambda: user_runs(log, limits)
     )
     return _finish(runs, means, containers)
 

@@ -5,7 +5,7 @@ import re
 import logs
 import pytest
 
-from learnlog.operators import history, ordered, splits
+from learnlog.operators import encodings, history, ordered, splits
 from learnlog.plans import catalog, matrix
 from learnlog.sources import fixtures
 
@@ -64,10 +64,14 @@ def test_filters_reach_the_scan(log):
 
 
 def test_means_keep_three_rows_per_user_before_the_shuffle(log):
-    plan = plan_of(history.global_means(log))
-    assert plan.count("WindowGroupLimit") >= 4  # partial and final, first and last rows
-    for part in plan.split("Exchange hashpartitioning(user_id")[1:]:
-        assert "WindowGroupLimit" in part.split("FileScan")[0]
+    plan = plan_of(history.lag_edges(log))
+    assert plan.count("FileScan") == 1
+    assert plan.count("WindowGroupLimit") == 2  # partial and final
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(user_id")[1]
+
+
+def test_one_scan_for_all_sums(log):
+    assert plan_of(encodings.log_sums(log)).count("FileScan") == 1
 
 
 def test_samples_do_not_shuffle_the_rows(log):

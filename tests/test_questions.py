@@ -2,7 +2,7 @@ import logs
 import pytest
 
 from learnlog import schemas
-from learnlog.operators import encodings, lectures, questions
+from learnlog.operators import encodings, history, lectures, questions
 from learnlog.plans import matrix
 
 
@@ -81,7 +81,8 @@ def test_seen_only_keeps_answered_questions(spark):
 
 
 def test_container_variance_of_one_row_is_missing(spark):
-    stats = encodings.container_stats(logs.frame(spark, logs.edge_cases())).collect()
+    sums = encodings.container_sums(logs.frame(spark, logs.edge_cases()))
+    stats = encodings.container_stats(sums).collect()
     by_box = {r["task_container_id"]: r for r in stats}
     assert by_box[3]["task_container_std"] is None
     assert by_box[3]["task_container_uncor_count"] == 1
@@ -138,3 +139,28 @@ def test_fit_on_train_apply_to_valid(spark):
     for r in result.select("content_id", "content_correct_count").collect():
         assert r["content_correct_count"] == expected[r["content_id"]]
     assert result.count() == valid.where("answered_correctly <> -1").count()
+
+
+def test_encodings_of_an_empty_log_keep_the_rows(spark):
+    log = logs.frame(spark, logs.edge_cases())
+    table = question_table(spark, QUESTIONS)
+    communities = spark.createDataFrame([(10, 7)], "question_id long, community int")
+    encoded = matrix.fit(log.where("false"), table, communities)
+    result = matrix.training_matrix(log, table, communities, encodings=encoded)
+    assert result.count() == log.where("answered_correctly <> -1").count()
+    assert matrix.training_matrix(log.where("false"), table, communities).count() == 0
+
+
+def test_one_scan_gives_the_same_sums(spark):
+    log = logs.frame(spark, logs.random_log(300, seed=8))
+    contents, containers, overall = encodings.split_sums(encodings.log_sums(log))
+    for one, apart in (
+        (contents, encodings.content_sums(log)),
+        (containers, encodings.container_sums(log)),
+        (overall, history.overall_sums(log)),
+    ):
+        assert one.columns == apart.columns
+        rows, others = (sorted(map(tuple, df.collect()), key=lambda r: r[0]) for df in (one, apart))
+        assert len(rows) == len(others)
+        for row, other in zip(rows, others):
+            assert row == pytest.approx(other)
