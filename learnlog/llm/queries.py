@@ -4,8 +4,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import pieces
-from learnlog.llm.shared import documents
+from learnlog.llm import pieces, token_records
+from learnlog.llm.shared import documents, new_folder
+
+
+def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
+    folder = new_folder(spark, "token-records")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_records.write(documents(spark, d), folder, path, end_id=2)
+    return token_records.read(spark, folder).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
 
 
 def op8_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -19,7 +31,10 @@ def op8_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op8_pieces": op8_pieces}
+    return {
+        "op1_token_records": op1_token_records,
+        "op8_pieces": op8_pieces,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,5 +1,6 @@
 """What the operators share: table readers, Arrow tasks over texts, tables of chunks."""
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -7,6 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from learnlog.sources.tables import shared_folder
+
 #: Characters of text that a task turns into Python objects at a time.
 SLICE_CHARS = 1_000_000
 
@@ -22,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of this application's below the shared one."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/learnlog-{app}/{name}-{uuid.uuid4().hex}"
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what Spark hands to a Python worker at once; texts can be long."""
     for key, most in (
@@ -53,11 +62,12 @@ def map_texts(
     key: str = "doc_id",
     text: str = "text",
     keep: Sequence[str] = (),
+    with_keys: bool = False,
 ) -> DataFrame:
     """One row per row: ``key``, ``keep`` and the ``fields`` computed from ``text``.
 
     ``make`` runs in the task and gives the function that turns a list of texts
-    into one Arrow array per field. Only the named columns are read, so other
+    into one Arrow array per field; with ``with_keys`` it gets the keys too. Only the named columns are read, so other
     columns of ``rows`` cannot clash with the new ones.
     """
     small_batches(rows.sparkSession)
@@ -69,8 +79,9 @@ def map_texts(
             lengths = pc.binary_length(batch.column("__text")).fill_null(0).to_pylist()
             for a, b in slices(lengths):
                 part = batch.slice(a, b - a)
-                made = compute(part.column("__text").to_pylist())
                 columns = [part.column(c) for c in carried]
+                keys = [columns[0].to_pylist()] if with_keys else []
+                made = compute(part.column("__text").to_pylist(), *keys)
                 yield pa.RecordBatch.from_arrays(
                     [*columns, *made], names=[*carried, *(name for name, _ in fields)]
                 )
