@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import pieces, token_records
-from learnlog.llm.shared import documents, new_folder
+from learnlog.llm import decontaminate, oracle, pieces, token_records
+from learnlog.llm.shared import documents, new_folder, table
 
 
 def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
@@ -30,12 +30,25 @@ def op8_pieces(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.scan(documents(spark, d), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.hit_words().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_token_records": op1_token_records,
         "op8_pieces": op8_pieces,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()

@@ -89,7 +89,7 @@ def map_texts(
     kinds = {
         pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean",
         pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int32()): "array<int>",
-        pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>",
+        pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>", pa.list_(pa.binary()): "array<binary>",
     }
     names = dict(zip(rows.columns, rows.schema))
     schema = ", ".join(
@@ -99,6 +99,24 @@ def map_texts(
     return rows.select(*carried, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
+def filter_texts(
+    docs: DataFrame, make: Callable[[], Callable[[list[str | None]], list[bool]]]
+) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, for whose ``text`` the made function says so."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            texts = batch.column("text")
+            lengths = pc.binary_length(texts).fill_null(0).to_pylist()
+            for a, b in slices(lengths):
+                mask = pa.array(keep(texts.slice(a, b - a).to_pylist()), pa.bool_())
+                yield batch.slice(a, b - a).filter(mask)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 class ChunkTable:
     """The distinct chunks that a task meets, each with what ``fill`` made of it.
 
