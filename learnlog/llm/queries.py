@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, oracle, pieces, token_records
+from learnlog.llm import decontaminate, oracle, pieces, simhash, token_records
 from learnlog.llm.shared import documents, new_folder, table
 
 
@@ -20,6 +20,14 @@ def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.groups(documents(spark, d)).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op8_pieces(spark: SparkSession, d: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.round_trip(documents(spark, d), path).select(
@@ -45,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_token_records": op1_token_records,
+        "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op10_decontaminate": op10_decontaminate,
     }
