@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, oracle, pieces, simhash, token_records
-from learnlog.llm.shared import documents, new_folder, table
+from learnlog.llm import decontaminate, oracle, pieces, quality_crf, simhash, token_records
+from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
 def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
@@ -20,6 +20,21 @@ def op1_token_records(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _scored(rows: DataFrame, modulus: int, held_out: int) -> DataFrame:
+    return rows.select(
+        "doc_id",
+        F.coalesce(crc_part(modulus) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op2_quality_crf(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = quality_crf.fit(docs, table(spark, d, "labels"), modulus=3, held_out=1)
+    return _scored(quality_crf.score(docs, model), 3, 1)
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.groups(documents(spark, d)).select(
         "doc_id",
@@ -53,6 +68,7 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_token_records": op1_token_records,
+        "op2_quality_crf": op2_quality_crf,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op10_decontaminate": op10_decontaminate,
