@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, oracle, pieces, quality_crf, simhash, token_records
+from learnlog.llm import decontaminate, language_kn, oracle, pieces, quality_crf, simhash, token_records
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -35,6 +35,18 @@ def op2_quality_crf(spark: SparkSession, d: str) -> DataFrame:
     return _scored(quality_crf.score(docs, model), 3, 1)
 
 
+def op3_language_kn(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = language_kn.fit(docs, modulus=4, held_out=2)
+    return language_kn.identify(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_part(4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.groups(documents(spark, d)).select(
         "doc_id",
@@ -69,6 +81,7 @@ def queries() -> dict:
     return {
         "op1_token_records": op1_token_records,
         "op2_quality_crf": op2_quality_crf,
+        "op3_language_kn": op3_language_kn,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op10_decontaminate": op10_decontaminate,
