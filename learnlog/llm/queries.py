@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, language_kn, oracle, pieces, quality_crf, simhash, token_records
+from learnlog.llm import decontaminate, language_kn, oracle, pieces, quality_crf, simhash, token_records, toxicity
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -47,6 +47,12 @@ def op3_language_kn(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d)
+    model = toxicity.fit(docs, table(spark, d, "labels"), modulus=5, held_out=0)
+    return _scored(toxicity.score(docs, model), 5, 0)
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.groups(documents(spark, d)).select(
         "doc_id",
@@ -82,6 +88,7 @@ def queries() -> dict:
         "op1_token_records": op1_token_records,
         "op2_quality_crf": op2_quality_crf,
         "op3_language_kn": op3_language_kn,
+        "op4_toxicity": op4_toxicity,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op10_decontaminate": op10_decontaminate,

@@ -89,7 +89,7 @@ def map_texts(
     kinds = {
         pa.int64(): "bigint", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean",
         pa.string(): "string", pa.binary(): "binary", pa.list_(pa.int32()): "array<int>",
-        pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>", pa.list_(pa.binary()): "array<binary>",
+        pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.float64()): "array<double>", pa.list_(pa.binary()): "array<binary>", pa.list_(pa.string()): "array<string>",
     }
     names = dict(zip(rows.columns, rows.schema))
     schema = ", ".join(
