@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, language_kn, oracle, pieces, quality_crf, simhash, token_records, toxicity
+from learnlog.llm import decontaminate, html_blocks, language_kn, oracle, pieces, quality_crf, simhash, token_records, toxicity
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -71,6 +71,11 @@ def op8_pieces(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op9_html_blocks(spark: SparkSession, d: str) -> DataFrame:
+    found = html_blocks.extract(table(spark, d, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     found = decontaminate.scan(documents(spark, d), table(spark, d, "benchmark"))
     return found.select(
@@ -91,6 +96,7 @@ def queries() -> dict:
         "op4_toxicity": op4_toxicity,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
+        "op9_html_blocks": op9_html_blocks,
         "op10_decontaminate": op10_decontaminate,
     }
 
