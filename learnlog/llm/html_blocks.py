@@ -5,9 +5,11 @@ adverts, forms and the like leave empty lines behind, and so does text outside t
 article where the page marks one. The text lengths of the lines, link text apart, are
 summed over sliding windows of lines: where a sum rises from zero, text surges, and
 where it falls to zero again, it dives. The lines between the surge and the dive are a
-region; the page's text is the region with most text, or in a marked article all regions.
+region; the page's text is all regions of a marked article, or else the region with most text
+and the others in the element that holds it.
 """
 
+import os
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -35,6 +37,8 @@ DROPPED = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+#: Elements that hold the parts of a page.
+CONTAINERS = frozenset("body div section center".split())
 #: Elements that end where the next block begins, if no end tag comes first.
 OPEN_ENDED = frozenset("p li dt dd tr td th option".split())
 SPACED = frozenset("br td th wbr img".split())
@@ -68,11 +72,12 @@ _WORD = re.compile(r"[a-z]+")
 
 @dataclass
 class Line:
-    """A block's text, the characters of it that count, and whether an article holds it."""
+    """A block's text, the characters of it that count, whether an article holds it."""
 
     text: str
     weight: int
     inside: bool
+    path: tuple[int, ...] = ()  # the containers around it, outermost first
 
 
 def _declared(name: str, attributes: str, inside: bool) -> bool:
@@ -116,13 +121,14 @@ def lines_of(html: str) -> list[Line]:
     """The lines of a page, with empty lines where something was dropped or a part begins."""
     lines: list[Line] = []
     parts: list[str] = []
-    linked = depth = articles = 0
+    path: list[int] = []
+    linked = depth = articles = containers = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            lines.append(Line(text, max(0, len(text) - linked), articles > 0))
+            lines.append(Line(text, max(0, len(text) - linked), articles > 0, tuple(path)))
         parts.clear()
         linked = 0
 
@@ -159,6 +165,11 @@ def lines_of(html: str) -> list[Line]:
             articles = max(0, articles + (-1 if closing else 1))
         elif name in BLOCKS:
             flush()
+            if name in CONTAINERS and closing and path:
+                path.pop()
+            elif name in CONTAINERS and not closing:
+                containers += 1
+                path.append(containers)
         elif name in SPACED:
             parts.append(" ")
         elif name == "a":
@@ -187,15 +198,16 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
     marked = any(line.inside and line.weight for line in lines)
     weights = [line.weight if line.inside or not marked else 0 for line in lines]
     found = regions(weights, window)
-    if not marked and found:
-        found = [max(found, key=lambda r: (sum(weights[slice(*r)]), -r[0]))]
     kept = [
-        line.text
-        for a, b in found
-        for line in lines[a:b]
-        if line.text and (line.inside or not marked)
+        line for a, b in found for line in lines[a:b] if line.text and (line.inside or not marked)
     ]
-    return "\n".join(kept)
+    if not marked and found:
+        a, b = max(found, key=lambda r: (sum(weights[slice(*r)]), -r[0]))
+        best = [line for line in lines[a:b] if line.text]
+        around = os.path.commonprefix([line.path for line in best])
+        own = set(map(id, best))
+        kept = [ln for ln in kept if id(ln) in own or around and ln.path[: len(around)] == around]
+    return "\n".join(line.text for line in kept)
 
 
 def extract(pages: DataFrame, window: int = WINDOW) -> DataFrame:
