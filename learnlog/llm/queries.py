@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, html_blocks, language_kn, oracle, pieces, quality_crf, simhash, token_records, toxicity
+from learnlog.llm import decontaminate, html_blocks, language_kn, oracle, pieces, quality_crf, simhash, sketches, token_records, toxicity
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -53,6 +53,28 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return _scored(toxicity.score(docs, model), 5, 0)
 
 
+def op5_sketches(spark: SparkSession, d: str) -> DataFrame:
+    rows = sketches.with_next(documents(spark, d))
+    n = F.char_length("text")
+    tail = F.floor(n / 4).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), n - tail), F.substring("next_text", F.lit(1), tail)
+    )
+    rows = rows.select(
+        "doc_id", n.cast("bigint").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited")
+    )
+    rows = rows.withColumn("edited_sketch", sketches.sketch("edited"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketches.fingerprint("sketch").alias("fingerprint"),
+        sketches.fingerprint("edited_sketch").alias("edited_fingerprint"),
+        sketches.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        sketches.resemblance("sketch", "next_sketch").alias("near_next"),
+    )
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.groups(documents(spark, d)).select(
         "doc_id",
@@ -94,6 +116,7 @@ def queries() -> dict:
         "op2_quality_crf": op2_quality_crf,
         "op3_language_kn": op3_language_kn,
         "op4_toxicity": op4_toxicity,
+        "op5_sketches": op5_sketches,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op9_html_blocks": op9_html_blocks,
