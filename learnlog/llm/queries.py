@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, html_blocks, language_kn, oracle, pieces, quality_crf, simhash, sketches, token_records, toxicity
+from learnlog.llm import decontaminate, html_blocks, language_kn, licenses, oracle, pieces, quality_crf, simhash, sketches, token_records, toxicity
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -75,6 +75,10 @@ def op5_sketches(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.summary(documents(spark, d))
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.groups(documents(spark, d)).select(
         "doc_id",
@@ -117,6 +121,7 @@ def queries() -> dict:
         "op3_language_kn": op3_language_kn,
         "op4_toxicity": op4_toxicity,
         "op5_sketches": op5_sketches,
+        "op6_licenses": op6_licenses,
         "op7_simhash": op7_simhash,
         "op8_pieces": op8_pieces,
         "op9_html_blocks": op9_html_blocks,
