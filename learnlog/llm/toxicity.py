@@ -91,8 +91,8 @@ class Automaton:
 
     def codes(self, words: list[str]) -> list[int]:
         """The hit code of each word: an exact term, else a stem, else a misspelled term."""
-        if not words:
-            return []
+        if not self.letters:
+            return [0] * len(words)
         width = LONGEST + 3
         flat = "".join([w[:width].ljust(width, "\0") for w in words])
         points = np.frombuffer(flat.encode("utf-32-le"), "<u4").reshape(len(words), width)
