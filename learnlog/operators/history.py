@@ -306,10 +306,30 @@ def last_timestamps(log: DataFrame) -> DataFrame:
     return answered(log).groupBy("user_id").agg(F.max("timestamp").alias("max_time_stamp"))
 
 
-def previous_timestamps(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Per user: the latest time one and two answers back; NULL with too few rows."""
-    return user_runs(log, limits).groupBy("user_id").agg(
-        F.max("_ts1").alias("max_time_stamp2"), F.max("_ts2").alias("max_time_stamp3")
+def previous_timestamps(log: DataFrame) -> DataFrame:
+    """Per user: the latest time one and two answers back; NULL with too few rows.
+
+    That is the latest time among all but the last row, or the last two. Six rows of a
+    user tell it: the three latest times and the last three rows; the rank filter drops
+    the others before the shuffle.
+    """
+    ends = answered(log).selectExpr(
+        "user_id", "row_id", "timestamp", "explode(array('time', 'row')) as side"
+    )
+    order = "if(side = 'time', timestamp, row_id) desc, row_id desc"
+    rank = f"row_number() over {window(['user_id', 'side'], order)} as _rank"
+    ends = ends.selectExpr("*", rank).where("_rank <= 3")
+    per_user = ends.groupBy("user_id").agg(
+        F.expr("collect_list(struct(timestamp, row_id)) filter (where side = 'time') as times"),
+        F.expr("max(row_id) filter (where side = 'row') as last"),
+        F.expr("max(row_id) filter (where side = 'row' and _rank = 2) as second"),
+    )
+    latest = "array_max(transform(filter(times, t -> {0}), t -> t.timestamp))"
+    not_last, not_two = "t.row_id <> last", "t.row_id <> last and t.row_id <> second"
+    return per_user.selectExpr(
+        "user_id",
+        f"{latest.format(not_last)} as max_time_stamp2",
+        f"{latest.format(not_two)} as max_time_stamp3",
     )
 
 

@@ -68,10 +68,9 @@ def split_heavy(
 
     The second is None where no user is heavy: the plan is then the plain one.
     """
-    heavy = heavy_users(log, limits)
+    heavy = materialize(heavy_users(log, limits), "heavy-users")
     if heavy.isEmpty():
         return log, None
-    heavy = materialize(heavy, "heavy-users")
     ordinary = log.join(F.broadcast(heavy), "user_id", "left_anti")
     sliced = log.join(F.broadcast(heavy), "user_id", "left_semi").selectExpr(
         "*", f"row_id div {limits.slice_rows} as {SLICE}"
@@ -126,8 +125,8 @@ def running_totals(
 
     ``(within, order)`` must be unique. Rows are range-partitioned and written,
     which freezes the ranges; totals run inside each range and are shifted by the
-    totals of the earlier ranges. One row per range and group is broadcast: at
-    most the number of shuffle partitions plus the number of groups.
+    totals of the earlier ranges. Those have one row per range and group and are
+    written, so that their size decides how they are joined.
     """
     keys = [*within, *order]
     columns = df.columns
@@ -141,9 +140,10 @@ def running_totals(
         *[f"coalesce(sum({s}) over {ranges_before}, 0) as _offset_{s}" for s in sums],
     )
     inside = window([*within, RANGE], ", ".join(order), BEFORE)
+    offsets = materialize(offsets, "offsets")
     running = ranged.selectExpr(
         "*", *[f"coalesce(sum({s}) over {inside}, 0) as _inside_{s}" for s in sums]
     )
-    return running.join(F.broadcast(offsets), [*within, RANGE]).selectExpr(
+    return running.join(offsets, [*within, RANGE]).selectExpr(
         *columns, *[f"_inside_{s} + _offset_{s} as before_{s}" for s in sums]
     )

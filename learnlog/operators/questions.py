@@ -99,6 +99,7 @@ def rollups(questions: DataFrame, contents: DataFrame) -> tuple[DataFrame, DataF
     to be small.
     """
     rates = with_content_stats(questions.select("question_id", "part", "bundle_id"), contents)
+    rates = materialize(rates, "rates")
     parts, bundles = concurrently(
         questions.sparkSession,
         lambda: materialize(part_stats(rates), "parts"),

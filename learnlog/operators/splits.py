@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from learnlog.functions.columns import draw, drawn
 from learnlog.operators.ordered import UP_TO_HERE, window
+from learnlog.sources.tables import materialize
 
 SAMPLE_ROWS = 12_000_000
 USER_SHARE = 0.08
@@ -36,33 +37,40 @@ def holdout_draw(seed: int | str, id_col: str = "row_id") -> str:
 # --- exact samples --------------------------------------------------------------
 
 
-def _inside(drawn_rows: DataFrame, crossing: DataFrame, digits: int, within: Sequence[str]):
-    """Rows whose draw starts with the crossing prefix: one prefix per group."""
-    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {digits}) as prefix")
-    return prefixed.join(F.broadcast(crossing), [*within, "prefix"])
-
-
 def _cut(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> DataFrame:
     """The n-th row per group by (draw, id): ``cut_draw``, ``cut_id``.
 
-    Rows are counted per draw prefix, first a short one, then a longer one inside
-    the prefix where the n-th row falls; only the rows of the last prefix, one in
+    One pass counts the rows per long draw prefix; the counts, summed, also tell per short
+    prefix where the n-th row falls. Only the rows of one long prefix, one in
     16 ** 6, are ranked. No row if the group is smaller.
     """
-    candidates = drawn_rows.selectExpr("*", "0L as taken")
-    upto = window(within, "prefix", UP_TO_HERE)
-    for digits in _PREFIXES:
-        counts = (
-            candidates.selectExpr(*within, "taken", f"substring(draw, 1, {digits}) as prefix")
-            .groupBy(*within, "taken", "prefix")
-            .agg(F.expr("count(*) as rows"))
-        )
+    short, long = _PREFIXES
+    counts = materialize(
+        drawn_rows.selectExpr(*within, f"substring(draw, 1, {long}) as prefix")
+        .groupBy(*within, "prefix")
+        .agg(F.expr("count(*) as rows")),
+        "prefixes",
+    )
+    crossing = None
+    for digits in (short, long):
+        inside = counts.selectExpr("*", f"substring(prefix, 1, {digits}) as head", "0L as taken")
+        if crossing is not None:
+            cut = f"substring(prefix, 1, {short})"
+            inside = (
+                counts.selectExpr("*", f"{cut} as start", "prefix as head")
+                .join(F.broadcast(crossing.withColumnRenamed("head", "start")), [*within, "start"])
+                .drop("start")
+            )
+        totals = inside.groupBy(*within, "taken", "head").agg(F.expr("sum(rows) as rows"))
+        upto = window(within, "head", UP_TO_HERE)
+        # At most 16 ** 3 rows per group: those of the prefixes inside the crossing one.
         crossing = (
-            counts.selectExpr("*", f"taken + sum(rows) over {upto} as upto")
+            totals.selectExpr("*", f"taken + sum(rows) over {upto} as upto")
             .where(f"upto >= {n} and upto - rows < {n}")
-            .selectExpr(*within, "prefix", "upto - rows as taken")
+            .selectExpr(*within, "head", "upto - rows as taken")
         )
-        candidates = _inside(drawn_rows, crossing, digits, within).drop("prefix")
+    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {long}) as head")
+    candidates = prefixed.join(F.broadcast(crossing), [*within, "head"])
     rank = f"row_number() over {window([*within, 'taken'], 'draw, id')} as rank"
     return candidates.selectExpr("*", rank).where(f"rank + taken = {n}").selectExpr(
         *within, "draw as cut_draw", "id as cut_id"
@@ -75,15 +83,19 @@ def _kept(drawn_rows: DataFrame, id_col: str) -> DataFrame:
     return drawn_rows.where(f"cut_draw is null or {inside}").drop("draw", "cut_draw", "cut_id")
 
 
-def sample_n(df: DataFrame, n: int, seed: int, id_col: str = "row_id") -> DataFrame:
+def sample_n(
+    df: DataFrame, n: int, seed: int, id_col: str = "row_id", ids: DataFrame | None = None
+) -> DataFrame:
     """Exactly ``n`` rows without replacement; all rows if there are fewer.
 
     The rows are the first ``n`` by (draw, id), found by a threshold: the data is
-    filtered in place, neither sorted nor sent through one task.
+    filtered in place, neither sorted nor sent through one task. The threshold comes
+    from ``ids``, the same ids in a frame that is cheaper to read, where it is given:
+    ``df`` is then computed once, for the filter.
     """
     if n <= 0:
         return df.where("false")
-    drawn_rows = df.selectExpr(f"{row_draw(seed, id_col)} as draw", f"{id_col} as id")
+    drawn_rows = (df if ids is None else ids).selectExpr(f"{row_draw(seed, id_col)} as draw", f"{id_col} as id")
     # min over zero or one row: always one row, NULL where the table is smaller.
     cut = _cut(drawn_rows, n, []).agg(
         F.min("cut_draw").alias("cut_draw"), F.min("cut_id").alias("cut_id")
@@ -132,9 +144,14 @@ def valid_union(random_rows: DataFrame, new_user_rows: DataFrame) -> DataFrame:
 # --- splits ----------------------------------------------------------------------
 
 
-def _mark(
-    df: DataFrame, seed: int | str, user_share: float, row_share: float, id_col: str
+def mark_holdout(
+    df: DataFrame,
+    seed: int | str,
+    user_share: float = USER_SHARE,
+    row_share: float = ROW_SHARE,
+    id_col: str = "row_id",
 ) -> DataFrame:
+    """All rows with ``split`` and ``valid_kind`` as in :func:`holdout_split`, no sample."""
     kind = (
         f"case when {drawn(user_draw(seed), user_share)} then 'new_user' "
         f"when {drawn(holdout_draw(seed, id_col), row_share)} then 'random' end as valid_kind"
@@ -151,13 +168,15 @@ def holdout_split(
     user_share: float = USER_SHARE,
     row_share: float = ROW_SHARE,
     id_col: str = "row_id",
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """A sample of ``n`` rows with ``split`` (train, valid) and ``valid_kind``.
 
     A share of the users is held out whole (``new_user``), then a share of the
     remaining rows (``random``). One pass: a user's and a row's draw decide it.
     """
-    return _mark(sample_n(df, n, seed, id_col), seed, user_share, row_share, id_col)
+    sample = sample_n(df, n, seed, id_col, ids)
+    return mark_holdout(sample, seed, user_share, row_share, id_col)
 
 
 def repeated_folds(
@@ -168,23 +187,27 @@ def repeated_folds(
     user_share: float = USER_SHARE,
     row_share: float = ROW_SHARE,
     id_col: str = "row_id",
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Independent splits, numbered by ``fold``; fold ``i`` is the split of ``seed + i``.
 
     All folds come from one scan: each row is offered to every fold and kept
-    where it is not after that fold's cut.
+    where it is not after that fold's cut. ``ids`` is as in :func:`sample_n`.
     """
+    if folds < 1:
+        raise ValueError("folds must be positive")
     fold = f"explode(sequence(0, {folds - 1})) as fold"
     fold_seed = f"(fold + {seed})"
-    drawn_rows = df.selectExpr(f"{id_col} as id", fold).selectExpr(
+    drawn_rows = (df if ids is None else ids).selectExpr(f"{id_col} as id", fold).selectExpr(
         "fold", "id", f"{row_draw(fold_seed, 'id')} as draw"
     )
-    cuts = _cut(drawn_rows, n, ["fold"])  # at most one row per fold
-    offered = df.selectExpr("*", fold).selectExpr(
+    offered = df.where("false") if n <= 0 else df
+    cuts = _cut(drawn_rows, max(n, 1), ["fold"])  # at most one row per fold
+    offered = offered.selectExpr("*", fold).selectExpr(
         "*", f"{row_draw(fold_seed, id_col)} as draw"
     )
     sampled = _kept(offered.join(F.broadcast(cuts), "fold", "left"), id_col)
-    return _mark(sampled, fold_seed, user_share, row_share, id_col)
+    return mark_holdout(sampled, fold_seed, user_share, row_share, id_col)
 
 
 def split_counts(folds: DataFrame) -> DataFrame:

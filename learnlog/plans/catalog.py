@@ -4,22 +4,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learnlog import schemas
 from learnlog.functions import columns as fn
 from learnlog.ml import gbt, prep, search
 from learnlog.operators import encodings, history, lectures, metrics, questions, splits
 from learnlog.plans import matrix
-from learnlog.sources import fixtures
+from learnlog.sources import fixtures, readers
+from learnlog.sources.tables import materialize, new_table
 
 SEED = 2020
 SAMPLE_ROWS = 4000
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Query-sized model settings: a few shallow trees show the path end to end.
-TREES = {"maxIter": 5, "maxDepth": 4, "maxBins": 32, "stepSize": 0.1}
-BOUNDS = {"maxDepth": (2, 5), "maxBins": (16, 64), "maxIter": (2, 4)}
-
 
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     """Round columns whose last bits depend on the order of summation."""
@@ -215,7 +213,10 @@ def explanation_running(log: DataFrame) -> DataFrame:
 
 
 def valid_union(log: DataFrame) -> DataFrame:
-    marked = splits.holdout_split(history.answered(log), SEED)
+    """Both kinds of validation rows of the whole log, from one split, written."""
+    marked = splits.mark_holdout(history.answered(log), SEED)
+    marked = marked.where("split = 'valid'").select("row_id", "user_id", "valid_kind")
+    marked = materialize(marked, "holdout")
     kind = F.col("valid_kind")
     columns = ["row_id", "user_id"]
     return splits.valid_union(
@@ -243,46 +244,88 @@ def split_counts(log: DataFrame) -> DataFrame:
 # --- models -----------------------------------------------------------------------
 
 
-def _labelled(spark: SparkSession, d: str) -> DataFrame:
+def _labelled(spark: SparkSession, d: str, choose: matrix.Choice) -> DataFrame:
     return matrix.fit_labelled(
-        _log(spark, d), fixtures.questions(spark, d), fixtures.communities(spark, d)
+        _log(spark, d), fixtures.questions(spark, d), fixtures.communities(spark, d), choose=choose
     )
 
 
+def _ids(spark: SparkSession, d: str) -> DataFrame:
+    """The ids that samples are cut from: two columns of the log, no feature."""
+    return history.answered(_log(spark, d)).select("row_id")
+
+
 def _holdout(spark: SparkSession, d: str) -> DataFrame:
     """The model inputs of one split, written once: fits read them many times."""
-    return gbt.assemble(splits.holdout_split(_labelled(spark, d), SEED), schemas.FEATURES)
+    ids = _ids(spark, d)
+    rows = _labelled(spark, d, lambda r: splits.holdout_split(r, SEED, ids=ids))
+    return gbt.assemble(rows, schemas.FEATURES)
 
 
 def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
     """One model per fold, and its AUC on the rows it was and was not trained on."""
-    folds = splits.repeated_folds(_labelled(spark, d), SEED)
+    ids = _ids(spark, d)
+    folds = _labelled(spark, d, lambda r: splits.repeated_folds(r, SEED, ids=ids))
     rows = gbt.assemble(folds, schemas.FEATURES)
-    scored = gbt.score_folds(gbt.fit_folds(rows, TREES), rows)
+    scored = gbt.score_folds(gbt.fit_folds(rows), rows)
     return metrics.roc_auc(scored, within=["fold", "split"])
 
 
 def gbt_score(spark: SparkSession, d: str) -> DataFrame:
     rows = _holdout(spark, d)
-    scored = gbt.score(gbt.fit(rows, TREES), rows.where(F.col("split") == "valid"))
+    scored = gbt.score(gbt.fit(rows), rows.where(F.col("split") == "valid"))
     return scored.select("row_id", schemas.TARGET, "score")
 
 
+def gbt_stump(spark: SparkSession, d: str) -> DataFrame:
+    """One tree of depth 1 on ``part`` alone, whose scores SQL can tell."""
+    questions = fixtures.questions(spark, d)
+    rows = matrix.labelled_questions(_log(spark, d), questions)
+    rows = gbt.assemble(splits.holdout_split(rows, SEED, ids=_ids(spark, d)), ["part"])
+    model = gbt.fit(rows, {"maxIter": 1, "maxDepth": 1, "stepSize": 1.0})
+    scored = gbt.score(model, rows.where(F.col("split") == "valid"))
+    return rounded(scored.select("row_id", schemas.TARGET, "score"), 6, "score")
+
+
 def preprocess(spark: SparkSession, d: str) -> DataFrame:
     """Imputed and scaled inputs and the one-hot flag, before the classifier."""
-    rows = _matrix(spark, d)
+    columns = ["row_id", *prep.NUMERIC, prep.FLAG]
+    rows = materialize(_matrix(spark, d).select(*columns), "matrix")
     fitted = prep.preprocessor().fit(rows)
     return rounded(prep.unpack(fitted.transform(rows)), 6, *prep.SCALED)
 
 
 def param_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.run(_holdout(spark, d), search.random_points(BOUNDS, 3, SEED), TREES)
+    points = search.random_points(search.BOUNDS, search.TRIALS, SEED)
+    return search.run(_holdout(spark, d), points)
 
 
 def best_params(spark: SparkSession, d: str) -> DataFrame:
     return search.best(param_search(spark, d))
 
 
+def _scanned(
+    view: Callable[[SparkSession, str], DataFrame],
+    layout: T.StructType,
+    read: Callable[[SparkSession, str, str], DataFrame],
+) -> Query:
+    """The view written as the workload's CSV file and read back by its reader."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        rows = view(spark, d)
+        file = rows.select(
+            *[
+                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in layout
+            ]
+        )
+        path = new_table(spark, "csv")
+        file.write.csv(path, header=True, emptyValue="")
+        return read(spark, path, "csv")
+
+    return query
+
+
 def training_matrix(spark: SparkSession, d: str) -> DataFrame:
     floats = [*CONTENT_FLOATS, *PART_FLOATS, "task_container_std", "prior_question_elapsed_time"]
     return rounded(rounded(_matrix(spark, d), 8, *HOURS), 6, *floats)
@@ -310,10 +353,16 @@ def question_features(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         # sources
-        "scan_interactions": _from_log(lambda log: log.select(*schemas.INTERACTION_COLUMNS)),
-        "scan_lectures": fixtures.lectures,
-        "scan_questions": fixtures.questions,
-        "scan_communities": fixtures.communities,
+        "scan_interactions": _scanned(
+            fixtures.interactions, schemas.INTERACTION_FILE, readers.read_interactions
+        ),
+        "scan_lectures": _scanned(fixtures.lectures, schemas.LECTURE_FILE, readers.read_lectures),
+        "scan_questions": _scanned(
+            fixtures.questions, schemas.QUESTION_FILE, readers.read_questions
+        ),
+        "scan_communities": _scanned(
+            fixtures.communities, schemas.COMMUNITY_FILE, readers.read_communities
+        ),
         # filters and projections
         "filter_lectures": _from_log(lectures.lecture_rows),
         "filter_answered": _from_log(history.answered),
@@ -461,6 +510,7 @@ def queries() -> dict[str, Query]:
         "tuning_matrix": tuning_matrix,
         "gbt_fit": gbt_fit,
         "gbt_score": gbt_score,
+        "gbt_stump": gbt_stump,
         "preprocess": preprocess,
         "param_search": param_search,
         "best_params": best_params,

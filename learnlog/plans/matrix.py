@@ -1,5 +1,6 @@
 """The training matrix: history and question features side by side."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,9 @@ from learnlog.operators.questions import question_features, rollups, tag_codes
 from learnlog.sources.tables import concurrently, materialize
 
 
+Choice = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Encodings:
     """Everything fitted on a log, from written tables."""
@@ -84,9 +88,14 @@ def history_features(
     return _finish(user_runs(log, limits), means, containers)
 
 
-def _finish(runs: DataFrame, means: DataFrame, containers: DataFrame) -> DataFrame:
-    rows = attach(history(runs, means), containers, "task_container_id")
-    return rows.select("row_id", *schemas.HISTORY_COLUMNS)
+def _finish(
+    runs: DataFrame, means: DataFrame, containers: DataFrame, choose: Choice | None = None
+) -> DataFrame:
+    rows = history(runs, means)
+    chosen = choose(rows) if choose else rows
+    added = [c for c in chosen.columns if c not in rows.columns]
+    rows = attach(chosen, containers, "task_container_id")
+    return rows.select("row_id", *schemas.HISTORY_COLUMNS, *added)
 
 
 def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
@@ -115,14 +124,19 @@ def fit_labelled(
     questions: DataFrame,
     communities: DataFrame,
     limits: SliceLimits = DEFAULT_LIMITS,
+    choose: Choice | None = None,
 ) -> DataFrame:
-    """All features of a log, with encodings fitted on the same log."""
+    """All features of a log, with encodings fitted on the same log.
+
+    ``choose`` samples or splits the rows by ``row_id`` and ``user_id`` as soon as their
+    history is known: what it drops, or takes several times, is not joined before.
+    """
     encodings, runs = concurrently(
         log.sparkSession,
         lambda: fit(log, questions, communities, seen_only=True),
         lambda: user_runs(log, limits),
     )
-    rows = _finish(runs, encodings.means, encodings.containers)
+    rows = _finish(runs, encodings.means, encodings.containers, choose)
     return join_questions(rows, encodings.questions)
 
 

@@ -4,8 +4,9 @@ from pyspark.sql import SparkSession
 
 
 def build_session(
-    master: str | None = None, app: str = "learnlog", **conf: str
+    master: str | None = None, app: str = "learnlog", shared: str | None = None, **conf: str
 ) -> SparkSession:
+    """``shared`` is the folder that driver and executors share, for written tables."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -16,6 +17,8 @@ def build_session(
     )
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

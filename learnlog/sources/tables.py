@@ -31,6 +31,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_table(spark: SparkSession, name: str) -> str:
+    """A path for a new table of this application in the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/learnlog-{app}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
@@ -40,16 +46,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     skew splitting) otherwise.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/learnlog-{app}/{name}-{uuid.uuid4().hex}"
+    path = new_table(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder.
+
+    For the end of a run: frames that read those tables cannot be computed afterwards.
+    """
+    app = spark.sparkContext.applicationId
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/learnlog-{app}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def concurrently(
-    spark: SparkSession, *builds: Callable[[], Result]
+    spark: SparkSession, *builds: Callable[[], Result], at_once: int | None = None
 ) -> list[Result]:
     """Run independent builds at once, so that their small jobs share the cluster."""
-    with ThreadPoolExecutor(len(builds)) as pool:
+    with ThreadPoolExecutor(min(len(builds), at_once or len(builds))) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(build)) for build in builds]
         return [build.result() for build in running]

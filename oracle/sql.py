@@ -506,6 +506,28 @@ def oracle_sql() -> dict[str, str]:
             from answered left join questions on content_id = question_id
             order by {draw('rows', 'row_id')}, row_id limit 12000000""",
         ),
+        "gbt_stump": _query(
+            [*_ANSWERED, QUESTIONS],
+            f""",marked as (
+              select row_id, answered_correctly, coalesce(cast(part as double), -1) as part,
+                {NEW_USER} or {HELD_OUT} as valid
+              from answered left join questions on content_id = question_id),
+            sums as (
+              select part, count(*) as n, sum(2 * answered_correctly - 1) as s
+              from marked where not valid group by part),
+            cuts as (
+              select (part + lead(part) over parts) / 2 as cut,
+                sum(n) over parts as n1, sum(s) over parts as s1,
+                sum(n) over () as n, sum(s) over () as s
+              from sums window parts as (order by part)),
+            best as (
+              select cut, s1 / n1 as low, (s - s1) / (n - n1) as high from cuts
+              where cut is not null order by s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) desc, cut
+              limit 1)
+            select row_id, answered_correctly,
+              round(1 / (1 + exp(-2 * case when part <= cut then low else high end)), 6) as score
+            from marked, best where valid""",
+        ),
         "repeated_folds": _query(
             [*_ANSWERED, FOLDS],
             """select fold, row_id,
