@@ -1,6 +1,7 @@
 """One named query per operator, each over the driver's whole tables."""
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -295,13 +296,19 @@ def preprocess(spark: SparkSession, d: str) -> DataFrame:
     return rounded(prep.unpack(fitted.transform(rows)), 6, *prep.SCALED)
 
 
-def param_search(spark: SparkSession, d: str) -> DataFrame:
+@lru_cache(maxsize=8)
+def _trials(spark: SparkSession, d: str) -> DataFrame:
+    """The trials over one folder of tables: searched once in a session, a few rows."""
     points = search.random_points(search.BOUNDS, search.TRIALS, SEED)
     return search.run(_holdout(spark, d), points)
 
 
+def param_search(spark: SparkSession, d: str) -> DataFrame:
+    return _trials(spark, d)
+
+
 def best_params(spark: SparkSession, d: str) -> DataFrame:
-    return search.best(param_search(spark, d))
+    return search.best(_trials(spark, d))
 
 
 def _scanned(

@@ -121,23 +121,7 @@ FEATURES = [
 # The tuning runs leave one target encoding out.
 FEATURES_TUNING = [name for name in FEATURES if name != "content_correctness"]
 
-# Inputs that are categories rather than quantities. Tree fitting treats every
-# input as a number; the list is there for callers who index them.
-CATEGORICAL_FEATURES = [
-    "content_id",
-    "task_container_id",
-    "part",
-    "tags1",
-    "tags2",
-    "tags3",
-    "tags4",
-    "tags5",
-    "part_bundle_id",
-    "content_sub_bundle",
-    "prior_question_had_explanation",
-]
-
-# Output columns of the two feature tables.
+# --- fixed values: output columns of the two feature tables --------------------
 HISTORY_COLUMNS = [
     "timestamp",
     "user_id",

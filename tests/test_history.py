@@ -52,7 +52,7 @@ def test_history_equals_row_by_row(spark, rows, limits):
 @pytest.mark.parametrize("limits", [SLICED, MIXED], ids=["sliced", "mixed"])
 def test_slices_change_nothing(spark, limits):
     log = logs.frame(spark, logs.random_log(900, seed=5))
-    for build in (history.interaction_counts, history.user_runs, history.previous_timestamps):
+    for build in (history.interaction_counts, history.user_runs):
         plain = build(log, PLAIN)
         sliced = build(log, limits).select(*plain.columns)
         assert sorted(map(str, plain.collect())) == sorted(map(str, sliced.collect()))

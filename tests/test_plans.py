@@ -5,7 +5,7 @@ import re
 import logs
 import pytest
 
-from learnlog.operators import encodings, history, ordered, splits
+from learnlog.operators import encodings, history, metrics, ordered, splits
 from learnlog.plans import catalog, matrix
 from learnlog.sources import fixtures
 
@@ -102,3 +102,44 @@ def test_heavy_user_is_not_in_one_task(spark, log):
         if "Exchange hashpartitioning(user_id" in line and "row_id" in line:
             # Whole rows move by user only where the heavy ones were taken out.
             assert "_slice" in line or "LeftAnti" in plan.split(line, 1)[1].split("Exchange")[0]
+
+
+def test_samples_are_cut_before_the_joins(spark, tmp_path):
+    """Below the sample's filter stand the windows, and no join of containers or questions."""
+    log = fixtures.interactions(spark, SF_DIR)
+    ids = history.answered(log).select("row_id")
+    rows = matrix.fit_labelled(
+        log,
+        fixtures.questions(spark, SF_DIR),
+        fixtures.communities(spark, SF_DIR),
+        choose=lambda r: splits.repeated_folds(r, 1, folds=2, n=100, ids=ids),
+    )
+    lines = plan_of(rows).splitlines()
+    cut = next(i for i, line in enumerate(lines) if "Filter" in line and "cut_draw" in line)
+    joins = [i for i, line in enumerate(lines) if "Join" in line and "content_id" in line]
+    assert joins and max(joins) < cut
+    assert rows.count() == 200
+
+
+def test_samples_read_ids_only(log):
+    plan = plan_of(splits.sample_n(log, 100, 1, ids=log.select("row_id")))
+    schemas_read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert sum("user_id" in s for s in schemas_read) == 1
+
+
+def test_totals_within_groups_force_no_broadcast(spark, log):
+    scored = log.where("answered_correctly >= 0").selectExpr(
+        "user_id", "answered_correctly", "double(row_id % 50) as score"
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastExchange" not in plan_of(metrics.roc_auc(scored, within=["user_id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_previous_times_move_few_rows(log):
+    plan = plan_of(history.previous_timestamps(log))
+    assert plan.count("FileScan") == 1
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(user_id")[1]

@@ -70,6 +70,27 @@ def test_folds_are_the_splits_of_consecutive_seeds(spark, rows):
     assert len(counts) == 6 and sum(r["rows"] for r in counts) == 3600
 
 
+def test_folds_at_the_edges(spark, rows):
+    assert splits.repeated_folds(rows, seed=1, folds=2, n=0).collect() == []
+    for folds in (0, -1):
+        with pytest.raises(ValueError):
+            splits.repeated_folds(rows, seed=1, folds=folds)
+
+
+def test_samples_cut_from_ids(spark, rows):
+    ids = rows.select("row_id")
+    assert (
+        splits.sample_n(rows, 777, seed=5, ids=ids).collect()
+        == splits.sample_n(rows, 777, seed=5).collect()
+    )
+
+
+def test_marks_cover_all_rows(spark, rows):
+    marked = splits.mark_holdout(rows, 3).collect()
+    assert len(marked) == 3000
+    assert sorted(map(str, marked)) == sorted(map(str, splits.holdout_split(rows, 3).collect()))
+
+
 @pytest.mark.parametrize("partitions", ["1", "4"])
 def test_running_totals(spark, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
