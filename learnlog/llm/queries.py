@@ -1,10 +1,25 @@
 """The operators' queries over the given tables, with production parameters."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnlog.llm import decontaminate, html_blocks, language_kn, licenses, oracle, pieces, quality_crf, simhash, sketches, token_records, toxicity
+from learnlog.llm import (
+    decontaminate,
+    fill_in_middle,
+    html_blocks,
+    language_kn,
+    lexical,
+    licenses,
+    line_dedup,
+    oracle,
+    pieces,
+    quality_crf,
+    simhash,
+    sketches,
+    token_records,
+    toxicity,
+)
 from learnlog.llm.shared import crc_part, documents, new_folder, table
 
 
@@ -114,6 +129,33 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _sha256(column) -> Column:
+    return F.sha2(column.cast("binary"), 256)
+
+
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    made = fill_in_middle.transform(documents(spark, d))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        _sha256(F.col("output")).alias("output_sha256"),
+        _sha256(fill_in_middle.restored()).alias("restored_sha256"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    index = lexical.build(documents(spark, d), new_folder(spark, "lexical"))
+    return lexical.search(spark, index, table(spark, d, "benchmark"))
+
+
+def op13_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    rows = line_dedup.drop_lines(documents(spark, d))
+    return rows.select("doc_id", "n_lines", "n_dropped", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
 def queries() -> dict:
     return {
         "op1_token_records": op1_token_records,
@@ -126,6 +168,9 @@ def queries() -> dict:
         "op8_pieces": op8_pieces,
         "op9_html_blocks": op9_html_blocks,
         "op10_decontaminate": op10_decontaminate,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
