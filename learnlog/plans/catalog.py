@@ -1,7 +1,6 @@
 """One named query per operator, each over the driver's whole tables."""
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +8,7 @@ from pyspark.sql import types as T
 
 from learnlog import schemas
 from learnlog.functions import columns as fn
-from learnlog.ml import gbt, prep, search
+from learnlog.ml import boosting, gbt, nodes, prep, search
 from learnlog.operators import encodings, history, lectures, metrics, questions, splits
 from learnlog.plans import matrix
 from learnlog.sources import fixtures, readers
@@ -17,6 +16,7 @@ from learnlog.sources.tables import materialize, new_table
 
 SEED = 2020
 SAMPLE_ROWS = 4000
+ROUNDS, STUMP_STEP = 5, 0.3  # of the boosted stumps that SQL repeats
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -263,15 +263,30 @@ def _holdout(spark: SparkSession, d: str) -> DataFrame:
     return gbt.assemble(rows, schemas.FEATURES)
 
 
+def _folds(spark: SparkSession, d: str) -> DataFrame:
+    """The model inputs of all folds, written once."""
+    ids = _ids(spark, d)
+    rows = _labelled(spark, d, lambda r: splits.repeated_folds(r, SEED, ids=ids))
+    return gbt.assemble(rows, schemas.FEATURES)
+
+
 def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
     """One model per fold, and its AUC on the rows it was and was not trained on."""
-    ids = _ids(spark, d)
-    folds = _labelled(spark, d, lambda r: splits.repeated_folds(r, SEED, ids=ids))
-    rows = gbt.assemble(folds, schemas.FEATURES)
+    rows = _folds(spark, d)
     scored = gbt.score_folds(gbt.fit_folds(rows), rows)
     return metrics.roc_auc(scored, within=["fold", "split"])
 
 
+def gbt_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Stumps on ``part`` alone, a few rounds in every fold: the AUC of each round and split,
+    which SQL can tell."""
+    rows = matrix.labelled_questions(_log(spark, d), fixtures.questions(spark, d))
+    folds = gbt.assemble(splits.repeated_folds(rows, SEED, ids=_ids(spark, d)), ["part"])
+    stumps = {"maxIter": ROUNDS, "maxDepth": 1, "stepSize": STUMP_STEP}
+    states = gbt.fit_fold_states(folds, stumps, patience=ROUNDS)
+    return rounded(gbt.rounds_table(states, spark), 9, "auc")
+
+
 def gbt_score(spark: SparkSession, d: str) -> DataFrame:
     rows = _holdout(spark, d)
     scored = gbt.score(gbt.fit(rows), rows.where(F.col("split") == "valid"))
@@ -288,6 +303,18 @@ def gbt_stump(spark: SparkSession, d: str) -> DataFrame:
     return rounded(scored.select("row_id", schemas.TARGET, "score"), 6, "score")
 
 
+def gbt_reloaded(spark: SparkSession, d: str) -> DataFrame:
+    """Stumps on ``part`` alone, saved as a node table, loaded again and scored from it."""
+    rows = matrix.labelled_questions(_log(spark, d), fixtures.questions(spark, d))
+    rows = gbt.assemble(splits.holdout_split(rows, SEED, ids=_ids(spark, d)), ["part"])
+    state = gbt.fit_state(rows, {"maxIter": ROUNDS, "maxDepth": 1, "stepSize": STUMP_STEP})
+    model = boosting.cut(state, {"stepSize": STUMP_STEP}, ROUNDS)
+    path = new_table(spark, "nodes")
+    nodes.save(model, spark, path)
+    scored = nodes.score(rows.where(F.col("split") == "valid"), nodes.load(spark, path))
+    return rounded(scored.select("row_id", schemas.TARGET, "score"), 6, "score")
+
+
 def preprocess(spark: SparkSession, d: str) -> DataFrame:
     """Imputed and scaled inputs and the one-hot flag, before the classifier."""
     columns = ["row_id", *prep.NUMERIC, prep.FLAG]
@@ -296,19 +323,19 @@ def preprocess(spark: SparkSession, d: str) -> DataFrame:
     return rounded(prep.unpack(fitted.transform(rows)), 6, *prep.SCALED)
 
 
-@lru_cache(maxsize=8)
-def _trials(spark: SparkSession, d: str) -> DataFrame:
-    """The trials over one folder of tables: searched once in a session, a few rows."""
+def param_search(spark: SparkSession, d: str) -> DataFrame:
     points = search.random_points(search.BOUNDS, search.TRIALS, SEED)
     return search.run(_holdout(spark, d), points)
 
 
-def param_search(spark: SparkSession, d: str) -> DataFrame:
-    return _trials(spark, d)
+def best_params(spark: SparkSession, d: str) -> DataFrame:
+    return search.best(param_search(spark, d))
 
 
-def best_params(spark: SparkSession, d: str) -> DataFrame:
-    return search.best(_trials(spark, d))
+def rung_search(spark: SparkSession, d: str) -> DataFrame:
+    """The large search, half of the points dropped at every rung."""
+    points = search.random_points(search.RUNG_BOUNDS, search.RUNG_TRIALS, SEED)
+    return search.run_rungs(_holdout(spark, d), points)
 
 
 def _scanned(
@@ -518,7 +545,10 @@ def queries() -> dict[str, Query]:
         "gbt_fit": gbt_fit,
         "gbt_score": gbt_score,
         "gbt_stump": gbt_stump,
+        "gbt_rounds": gbt_rounds,
+        "gbt_reloaded": gbt_reloaded,
         "preprocess": preprocess,
         "param_search": param_search,
         "best_params": best_params,
+        "rung_search": rung_search,
     }

@@ -45,10 +45,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles (with
     skew splitting) otherwise.
     """
+    return written(df, name)[1]
+
+
+def written(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """As :func:`materialize`, with the path, for a table that is deleted before the end."""
     spark = df.sparkSession
     path = new_table(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_tables(spark: SparkSession) -> None:
@@ -57,8 +68,7 @@ def drop_tables(spark: SparkSession) -> None:
     For the end of a run: frames that read those tables cannot be computed afterwards.
     """
     app = spark.sparkContext.applicationId
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/learnlog-{app}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{shared_folder(spark)}/learnlog-{app}")
 
 
 def concurrently(

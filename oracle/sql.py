@@ -9,6 +9,7 @@ from oracle.inputs import COMMUNITIES, INTERACTIONS, LECTURES, QUESTIONS
 
 SEED = 2020
 SAMPLE_ROWS = 4000
+ROUNDS, STUMP_STEP = 5, 0.3
 
 ANSWERED = """
 answered as (
@@ -242,6 +243,50 @@ def _training(features: str) -> str:
     )
 
 
+def boosted_stumps(rounds: int, step: float) -> str:
+    """Tables ``m0`` to ``m<rounds>``: the margin of each part in each fold after each round,
+    from ``counts`` with fold, part, valid, pos and neg."""
+    parts = ["""
+    train as (select fold, part, pos, neg from counts where not valid),
+    m0 as (select distinct fold, part, cast(0 as double) as f from counts)"""]
+    for r in range(1, rounds + 1):
+        pull = "4 * pos / (1 + exp(2 * f)) - 4 * neg / (1 + exp(-2 * f))" if r > 1 else "pos - neg"
+        parts.append(f"""
+    g{r} as (select fold, part, pos + neg as n, {pull} as s from train join m{r - 1} using (fold, part)),
+    c{r} as (
+      select fold, (part + lead(part) over w) / 2 as cut, sum(n) over w as n1, sum(s) over w as s1,
+        sum(n) over (partition by fold) as n, sum(s) over (partition by fold) as s
+      from g{r} window w as (partition by fold order by part)),
+    b{r} as (
+      select distinct on (fold) fold, cut, s1 / n1 as low, (s - s1) / (n - n1) as high
+      from c{r} where cut is not null
+      order by fold, s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) desc, cut),
+    m{r} as (
+      select fold, part, f + {step if r > 1 else 1} * case when part <= cut then low else high end as f
+      from m{r - 1} join b{r} using (fold))""")
+    return ",".join(parts)
+
+
+def round_aucs(rounds: int) -> str:
+    """The AUC per fold, round and split after :func:`boosted_stumps`."""
+    scored = " union all ".join(
+        f"select fold, {r} as round, valid, f, pos, neg from counts join m{r} using (fold, part)"
+        for r in range(1, rounds + 1)
+    )
+    return f"""
+    scored as ({scored}),
+    tied as (
+      select fold, round, valid, f, sum(pos) as p, sum(neg) as n from scored group by all),
+    ranked as (
+      select *, sum(n) over (partition by fold, round, valid order by f) - n as below from tied)
+    select cast(fold as int) as fold, cast(round as int) as round,
+      case when valid then 'valid' else 'train' end as split,
+      round(sum(p * (below + n / 2)) / nullif(sum(p) * sum(n), 0), 9) as auc
+    from ranked group by all"""
+
+
+_PART = "coalesce(cast(part as double), -1)"
+
 _FLAG_VALUES = {
     **{f"part_{p}": f"part = {p}" for p in range(1, 8)},
     "type_of_concept": "type_of = 'concept'",
@@ -528,6 +573,27 @@ def oracle_sql() -> dict[str, str]:
               round(1 / (1 + exp(-2 * case when part <= cut then low else high end)), 6) as score
             from marked, best where valid""",
         ),
+        "gbt_rounds": _query(
+            [*_ANSWERED, QUESTIONS, FOLDS],
+            f""",counts as (
+              select fold, {_PART} as part, valid_kind is not null as valid,
+                sum(answered_correctly) as pos, sum(1 - answered_correctly) as neg
+              from folds join answered using (row_id) left join questions on content_id = question_id
+              group by all),
+            {boosted_stumps(ROUNDS, STUMP_STEP)},{round_aucs(ROUNDS)}""",
+        ),
+        "gbt_reloaded": _query(
+            [*_ANSWERED, QUESTIONS],
+            f""",marked as (
+              select row_id, answered_correctly, {_PART} as part, {NEW_USER} or {HELD_OUT} as valid
+              from answered left join questions on content_id = question_id),
+            counts as (
+              select 0 as fold, part, valid, sum(answered_correctly) as pos,
+                sum(1 - answered_correctly) as neg from marked group by all),
+            {boosted_stumps(ROUNDS, STUMP_STEP)}
+            select row_id, answered_correctly, round(1 / (1 + exp(-2 * f)), 6) as score
+            from marked join m{ROUNDS} using (part) where valid""",
+        ),
         "repeated_folds": _query(
             [*_ANSWERED, FOLDS],
             """select fold, row_id,
