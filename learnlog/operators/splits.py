@@ -6,20 +6,20 @@ remainder is its negation. Fractions are hit in expectation, a fixed number of
 rows exactly.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learnlog.functions.columns import draw, drawn
-from learnlog.operators.ordered import UP_TO_HERE, window
-from learnlog.sources.tables import materialize
+from learnlog.operators.ordered import window
 
 SAMPLE_ROWS = 12_000_000
 USER_SHARE = 0.08
 ROW_SHARE = 0.1
 FOLDS = 5
-_PREFIXES = (3, 6)  # hex digits: 16 ** 3 counts at each level
+DIGITS = 3  # hex digits of a draw that are counted at a time: 16 ** 3 counters
+MOST_RANKED = 100_000  # rows of a prefix that are ranked, not counted again
 
 
 def row_draw(seed: int | str, id_col: str = "row_id") -> str:
@@ -37,50 +37,68 @@ def holdout_draw(seed: int | str, id_col: str = "row_id") -> str:
 # --- exact samples --------------------------------------------------------------
 
 
-def _cut(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> DataFrame:
-    """The n-th row per group by (draw, id): ``cut_draw``, ``cut_id``.
+def _inside(heads: Mapping[tuple, str], within: Sequence[str]) -> Column:
+    """Rows whose draw begins with the prefix that their group looks into."""
+    found = F.lit(False)
+    for group, head in heads.items():
+        same = F.substring("draw", 1, len(head)) == head
+        for name, value in zip(within, group):
+            same &= F.col(name) == value
+        found |= same
+    return found
 
-    One pass counts the rows per long draw prefix; the counts, summed, also tell per short
-    prefix where the n-th row falls. Only the rows of one long prefix, one in
-    16 ** 6, are ranked. No row if the group is smaller.
-    """
-    short, long = _PREFIXES
-    counts = materialize(
-        drawn_rows.selectExpr(*within, f"substring(draw, 1, {long}) as prefix")
-        .groupBy(*within, "prefix")
-        .agg(F.expr("count(*) as rows")),
-        "prefixes",
-    )
-    crossing = None
-    for digits in (short, long):
-        inside = counts.selectExpr("*", f"substring(prefix, 1, {digits}) as head", "0L as taken")
-        if crossing is not None:
-            cut = f"substring(prefix, 1, {short})"
-            inside = (
-                counts.selectExpr("*", f"{cut} as start", "prefix as head")
-                .join(F.broadcast(crossing.withColumnRenamed("head", "start")), [*within, "start"])
-                .drop("start")
-            )
-        totals = inside.groupBy(*within, "taken", "head").agg(F.expr("sum(rows) as rows"))
-        upto = window(within, "head", UP_TO_HERE)
-        # At most 16 ** 3 rows per group: those of the prefixes inside the crossing one.
-        crossing = (
-            totals.selectExpr("*", f"taken + sum(rows) over {upto} as upto")
-            .where(f"upto >= {n} and upto - rows < {n}")
-            .selectExpr(*within, "head", "upto - rows as taken")
-        )
-    prefixed = drawn_rows.selectExpr("*", f"substring(draw, 1, {long}) as head")
-    candidates = prefixed.join(F.broadcast(crossing), [*within, "head"])
-    rank = f"row_number() over {window([*within, 'taken'], 'draw, id')} as rank"
-    return candidates.selectExpr("*", rank).where(f"rank + taken = {n}").selectExpr(
-        *within, "draw as cut_draw", "id as cut_id"
-    )
 
+def _cuts(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> dict[tuple, tuple]:
+    """Per group of more than ``n`` rows, the n-th by (draw, id) as (draw, id).
 
-def _kept(drawn_rows: DataFrame, id_col: str) -> DataFrame:
-    """Rows with ``draw`` and the cut of their group that are not after the cut."""
-    inside = f"draw < cut_draw or (draw = cut_draw and {id_col} <= cut_id)"
-    return drawn_rows.where(f"cut_draw is null or {inside}").drop("draw", "cut_draw", "cut_id")
+    A radix select: one pass counts rows per prefix of ``DIGITS`` hex digits, which tells
+    whether a group is cut at all and in which prefix. Only rows of that prefix are looked at
+    again; they are counted by as many more digits while there are too many to rank. At
+    most 16 ** DIGITS counters of a group reach the driver at a time.
+    """
+    taken: dict[tuple, int] = {}
+    heads: dict[tuple, str] = {}
+    rows, digits, size = drawn_rows, 0, 0
+    while not digits or (heads and size > MOST_RANKED and digits < 32):
+        digits += DIGITS
+        head = F.substring("draw", 1, digits).alias("head")
+        counts: dict[tuple, list] = {}
+        for row in rows.groupBy(*within, head).agg(F.count("*").alias("rows")).collect():
+            counts.setdefault(tuple(row[k] for k in within), []).append((row["head"], row["rows"]))
+        heads, size = {}, 0
+        for group, found in counts.items():
+            before = taken.get(group, 0)
+            if digits == DIGITS and sum(count for _, count in found) <= n:
+                continue
+            for prefix, count in sorted(found):
+                if before + count >= n:
+                    heads[group], taken[group] = prefix, before
+                    size = max(size, count)
+                    break
+                before += count
+        rows = drawn_rows.where(_inside(heads, within))
+    if not heads:
+        return {}
+    rank = f"row_number() over {window([*within, 'head'], 'draw, id')} as rank"
+    ranked = rows.selectExpr("*", f"substring(draw, 1, {digits}) as head").selectExpr("*", rank)
+    last = F.lit(False)
+    for group, before in taken.items():
+        here = F.col("rank") == n - before
+        for name, value in zip(within, group):
+            here &= F.col(name) == value
+        last |= here
+    return {tuple(r[k] for k in within): (r["draw"], r["id"]) for r in ranked.where(last).collect()}
+
+
+def _kept(drawn_rows: DataFrame, cuts: Mapping[tuple, tuple], within: Sequence[str], id_col: str) -> DataFrame:
+    """Rows with ``draw`` that are not after the cut of their group, if it has one."""
+    after = F.lit(False)
+    for group, (draw_, id_) in cuts.items():
+        here = (F.col("draw") > draw_) | ((F.col("draw") == draw_) & (F.col(id_col) > id_))
+        for name, value in zip(within, group):
+            here &= F.col(name) == value
+        after |= here
+    return drawn_rows.where(~after).drop("draw")
 
 
 def sample_n(
@@ -95,13 +113,13 @@ def sample_n(
     """
     if n <= 0:
         return df.where("false")
-    drawn_rows = (df if ids is None else ids).selectExpr(f"{row_draw(seed, id_col)} as draw", f"{id_col} as id")
-    # min over zero or one row: always one row, NULL where the table is smaller.
-    cut = _cut(drawn_rows, n, []).agg(
-        F.min("cut_draw").alias("cut_draw"), F.min("cut_id").alias("cut_id")
+    drawn_rows = (df if ids is None else ids).selectExpr(
+        f"{row_draw(seed, id_col)} as draw", f"{id_col} as id"
     )
-    offered = df.selectExpr("*", f"{row_draw(seed, id_col)} as draw")
-    return _kept(offered.crossJoin(F.broadcast(cut)), id_col)
+    cuts = _cuts(drawn_rows, n, [])
+    if not cuts:
+        return df
+    return _kept(df.selectExpr("*", f"{row_draw(seed, id_col)} as draw"), cuts, [], id_col)
 
 
 # --- fractions ------------------------------------------------------------------
@@ -201,12 +219,14 @@ def repeated_folds(
     drawn_rows = (df if ids is None else ids).selectExpr(f"{id_col} as id", fold).selectExpr(
         "fold", "id", f"{row_draw(fold_seed, 'id')} as draw"
     )
-    offered = df.where("false") if n <= 0 else df
-    cuts = _cut(drawn_rows, max(n, 1), ["fold"])  # at most one row per fold
-    offered = offered.selectExpr("*", fold).selectExpr(
-        "*", f"{row_draw(fold_seed, id_col)} as draw"
-    )
-    sampled = _kept(offered.join(F.broadcast(cuts), "fold", "left"), id_col)
+    if n <= 0:
+        return mark_holdout(df.where("false").selectExpr("*", fold), fold_seed, user_share, row_share, id_col)
+    offered = df.selectExpr("*", fold)
+    cuts = _cuts(drawn_rows, n, ["fold"])
+    sampled = offered
+    if cuts:
+        drawn_again = offered.selectExpr("*", f"{row_draw(fold_seed, id_col)} as draw")
+        sampled = _kept(drawn_again, cuts, ["fold"], id_col)
     return mark_holdout(sampled, fold_seed, user_share, row_share, id_col)
 
 

@@ -24,6 +24,28 @@ def test_sample_n_is_exact(spark, rows, n):
     assert sorted(sample) == sorted(expected)
 
 
+@pytest.mark.parametrize("digits, ranked", [(1, 1), (1, 60), (2, 3), (3, 1)])
+def test_cut_by_more_digits(spark, rows, monkeypatch, digits, ranked):
+    """Prefixes are counted again until few rows are left, also where one ends at the cut."""
+    monkeypatch.setattr(splits, "DIGITS", digits)
+    monkeypatch.setattr(splits, "MOST_RANKED", ranked)
+    draws = sorted((hashlib.md5(f"5:rows:{i}".encode()).hexdigest(), i) for i in range(3000))
+    at_end = sum(d < "5" for d, _ in draws)  # the last row whose draw starts with a 4
+    for n in (1, at_end, at_end + 1, 2999):
+        sample = [r["row_id"] for r in splits.sample_n(rows, n, seed=5).collect()]
+        assert sorted(sample) == sorted(i for _, i in draws[:n])
+    folds = splits.repeated_folds(rows, seed=5, folds=2, n=at_end)
+    first = [r["row_id"] for r in folds.where("fold = 0").collect()]
+    assert sorted(first) == sorted(i for _, i in draws[:at_end])
+    assert folds.where("fold = 1").count() == at_end
+
+
+def test_equal_draws_are_cut_by_id(spark):
+    ids = spark.createDataFrame([("ab" * 16, i) for i in range(50)], "draw string, id long")
+    assert splits._cuts(ids, 20, []) == {(): ("ab" * 16, 19)}
+    assert splits._cuts(ids, 50, []) == {}
+
+
 def test_sample_of_nothing(spark, rows):
     assert splits.sample_n(rows.where("false"), 10, seed=1).count() == 0
 
