@@ -157,50 +157,38 @@ def user_runs(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame
 # --- means that fill the gaps ---------------------------------------------------
 
 
-def lag_edges(log: DataFrame) -> DataFrame:
-    """One row: the sums of all lags and how many rows have none.
-
-    No window over the log is needed. A user's lags telescope: the sum of
-    ``x[i] - x[i-k]`` is the sum of the last k values minus that of the first k,
-    so only the first and last three rows of each user count, and the rank filter
-    drops all others before the shuffle.
-    """
-    # Every row is offered twice, as one of the first (-1) and of the last (1).
-    ends = answered(log).selectExpr(
-        "user_id", "row_id", "timestamp", _ELAPSED, "explode(array(-1, 1)) as side"
-    )
-    rank = f"row_number() over {window(['user_id', 'side'], '_order')} as _rank"
-    ends = ends.selectExpr("*", "-side * row_id as _order").selectExpr("*", rank)
-    # Exact sums: epoch-scale milliseconds over many users overflow a long.
-    ts = "side * cast(timestamp as decimal(20, 0))"
-    totals = {
-        **{f"gap{k}": f"sum({ts}) filter (where _rank <= {k})" for k in LAGS},
-        **{f"short{k}": f"count(*) filter (where side = -1 and _rank <= {k})" for k in LAGS},
-        "elapsed_gap": f"coalesce(sum(side * {_ELAPSED}) filter (where _rank = 1), 0)",
-        "null_gap": f"coalesce(sum(side) filter (where _rank = 1 and {_ELAPSED} is null), 0)",
-    }
-    return ends.where(f"_rank <= {_DEPTH}").agg(
-        *[F.expr(f"{total} as {name}") for name, total in totals.items()]
-    )
-
-
 def overall_sums(log: DataFrame) -> DataFrame:
     """One row: the number of answers and the mean elapsed time."""
     return answered(log).agg(F.expr("count(*) as n"), F.expr(f"avg({_ELAPSED}) as elapsed_mean"))
 
 
-def means_of(overall: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row: the mean of each column that is filled by its mean."""
-    lag_means = [f"{ratio(f'gap{k}', f'n - short{k}')} as {name}_mean" for k, name in LAGS.items()]
+def means_of(runs: DataFrame) -> DataFrame:
+    """One row: the mean of each column that is filled by its mean, from :func:`user_runs`.
+
+    One aggregate over the windows' output. Only the columns it needs are read and
+    shuffled, and nothing is sorted before that shuffle.
+    """
+    # Exact sums: epoch-scale milliseconds over many rows overflow a long.
+    gaps = {
+        name: f"sum(cast(timestamp - _ts{k} as decimal(20, 0)))" for k, name in LAGS.items()
+    }
+    after = "filter (where _position > 1)"
+    totals = {
+        "elapsed_mean": f"avg({_ELAPSED})",
+        **{f"{name}_mean": ratio(gap, f"count(_ts{k})") for (k, name), gap in zip(LAGS.items(), gaps.values())},
+        "changes": f"sum(coalesce({_ELAPSED}, 0) - coalesce(_elapsed1, 0)) {after}",
+        "missing": f"sum(int({_ELAPSED} is null) - int(_elapsed1 is null)) {after}",
+        "n": f"count(*) {after}",
+    }
+    sums = runs.agg(*[F.expr(f"{total} as {name}") for name, total in totals.items()])
     # A missing first or last value counts as the mean.
-    delta = "(elapsed_gap + coalesce(null_gap * elapsed_mean, 0))"
-    return overall.crossJoin(F.broadcast(edges)).selectExpr(
-        "elapsed_mean", *lag_means, f"{ratio(delta, 'n - short1')} as delta_mean"
-    )
+    delta = "(changes + coalesce(missing * elapsed_mean, 0))"
+    lag_means = [f"{name}_mean" for name in LAGS.values()]
+    return sums.selectExpr("elapsed_mean", *lag_means, f"{ratio(delta, 'n')} as delta_mean")
 
 
-def global_means(log: DataFrame) -> DataFrame:
-    return means_of(overall_sums(log), lag_edges(log))
+def global_means(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
+    return means_of(user_runs(log, limits))
 
 
 # --- features -------------------------------------------------------------------

@@ -3,7 +3,9 @@
 A window over one user sorts all of that user's rows in one task. Users above a
 row limit are therefore cut into slices of consecutive ``row_id``; windows run
 inside a slice, and what came before the slice is carried in from per-slice
-summaries, which are aggregated map-side from the same rows.
+summaries, which are aggregated map-side from the same rows. Slices hold about as many
+rows as they may, however a user's ids lie among those of the others: rows are counted
+per user and range of ids, and running counts tell where the slices end.
 """
 
 from collections.abc import Mapping, Sequence
@@ -26,8 +28,9 @@ class SliceLimits:
 
     A user is heavy above ``min_rows`` rows and above a ``1 / max_users`` share
     of the log, so there are always fewer than ``max_users`` heavy users and the
-    list can be broadcast whatever the size of the log. ``row_id`` is unique, so
-    a slice never holds more than ``slice_rows`` rows.
+    list can be broadcast whatever the size of the log. A slice never holds more than
+    ``slice_rows`` rows, and only the last of a user less than three quarters of that (for limits
+    of eight rows and more). ``row_id`` must be unique.
     """
 
     min_rows: int = 1_000_000
@@ -51,13 +54,16 @@ def window(keys: Sequence[str], order: str, frame: str = "") -> str:
 
 
 def heavy_users(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Users whose windows must be sliced; fewer than ``limits.max_users`` rows."""
-    counts = log.groupBy("user_id").agg(F.expr("count(*) as rows"))
+    """Users whose windows must be sliced, fewer than ``limits.max_users``: ``user_id``, ``rows``
+    and the lowest and highest ``row_id`` as ``low`` and ``high``."""
+    counts = log.groupBy("user_id").agg(
+        F.expr("count(*) as rows"), F.expr("min(row_id) as low"), F.expr("max(row_id) as high")
+    )
     total = counts.agg(F.expr("sum(rows) as total"))
     return (
         counts.crossJoin(F.broadcast(total))
         .where(f"rows > {limits.min_rows} and rows * bigint({limits.max_users}) > total")
-        .select("user_id")
+        .drop("total")
     )
 
 
@@ -66,16 +72,55 @@ def split_heavy(
 ) -> tuple[DataFrame, DataFrame | None]:
     """The log as (ordinary users' rows, heavy users' rows with a slice number).
 
-    The second is None where no user is heavy: the plan is then the plain one.
+    The second is None where no user is heavy: the plan is then the plain one. Otherwise it
+    is a written table: the log is read for the users' counts, for that table and for the
+    ordinary rows, three times in all.
     """
     heavy = materialize(heavy_users(log, limits), "heavy-users")
     if heavy.isEmpty():
         return log, None
-    ordinary = log.join(F.broadcast(heavy), "user_id", "left_anti")
-    sliced = log.join(F.broadcast(heavy), "user_id", "left_semi").selectExpr(
-        "*", f"row_id div {limits.slice_rows} as {SLICE}"
+    ordinary = log.join(F.broadcast(heavy.select("user_id")), "user_id", "left_anti")
+    return ordinary, sliced_rows(log, heavy, limits.slice_rows)
+
+
+def sliced_rows(log: DataFrame, heavy: DataFrame, slice_rows: int) -> DataFrame:
+    """The rows of heavy users with their slice, written.
+
+    A user's ids are divided into equal ranges, so many that one holds an eighth of a
+    slice if the ids lie evenly; a range with more than that is divided into ranges of so many
+    ids. Counts per range are all that is ordered.
+    """
+    most = max(1, slice_rows // 8)
+    columns = log.columns
+    # Twice over rows / most ranges of a user at most, and no more than it has rows.
+    width = f"greatest(1L, bigint(double(high - low + 1) * {most} / rows))"
+    placed = log.join(F.broadcast(heavy), "user_id").selectExpr(
+        *columns, f"(row_id - low) div {width} as _coarse", f"(row_id - low) div {most} as _fine"
+    )
+    placed = materialize(placed, "heavy-rows")
+    counts = materialize(
+        placed.groupBy("user_id", "_coarse").agg(F.expr("count(*) as rows")), "id-ranges"
+    )
+    crowded = counts.where(f"rows > {most}").select("user_id", "_coarse")
+    fine = F.lit(-1).cast("bigint").alias("_part")
+    ranges = counts.where(f"rows <= {most}").select("user_id", "_coarse", fine, "rows")
+    rows = placed.withColumn("_part", fine)
+    if not crowded.isEmpty():
+        marked = placed.join(crowded.withColumn("_crowded", F.lit(True)), ["user_id", "_coarse"], "left")
+        rows = marked.withColumn("_part", F.expr("if(_crowded, _fine, -1L)")).drop("_crowded")
+        divided = rows.where("_part >= 0").groupBy("user_id", "_coarse", "_part")
+        ranges = ranges.unionByName(divided.agg(F.expr("count(*) as rows")))
+    before = window(["user_id"], "_coarse, _part", BEFORE)
+    slices = ranges.selectExpr(
+        "user_id",
+        "_coarse",
+        "_part",
+        # No range is cut, so a slice may take in one more range than it should end with.
+        f"coalesce(sum(rows) over {before}, 0) div {max(1, slice_rows - most + 1)} as {SLICE}",
     )
-    return ordinary, sliced
+    slices = materialize(slices, "slices")
+    labelled = rows.join(slices, ["user_id", "_coarse", "_part"])
+    return materialize(labelled.select(*columns, SLICE), "sliced-rows")
 
 
 def carried_sums(

@@ -37,17 +37,27 @@ def holdout_draw(seed: int | str, id_col: str = "row_id") -> str:
 # --- exact samples --------------------------------------------------------------
 
 
-def _inside(heads: Mapping[tuple, str], within: Sequence[str]) -> Column:
-    """Rows whose draw begins with the prefix that their group looks into."""
-    found = F.lit(False)
-    for group, head in heads.items():
-        same = F.substring("draw", 1, len(head)) == head
-        for name, value in zip(within, group):
-            same &= F.col(name) == value
-        found |= same
+def _by_group(values: Mapping[tuple, Column], within: Sequence[str]) -> Column:
+    """The value of a row's group, NULL for other groups."""
+    found = F.lit(None)
+    for group, value in values.items():
+        same = F.lit(True)
+        for name, part in zip(within, group):
+            same &= F.col(name) == part
+        found = F.when(same, value).otherwise(found)
     return found
 
 
+def _inside(heads: Mapping[tuple, str], within: Sequence[str]) -> Column:
+    """Rows whose draw begins with the prefix that their group looks into.
+
+    The draw is named once: a filter works it out for every mention of it.
+    """
+    digits = len(next(iter(heads.values()), ""))
+    head = _by_group({group: F.lit(head) for group, head in heads.items()}, within)
+    return F.substring("draw", 1, digits) == head
+
+
 def _cuts(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> dict[tuple, tuple]:
     """Per group of more than ``n`` rows, the n-th by (draw, id) as (draw, id).
 
@@ -81,24 +91,16 @@ def _cuts(drawn_rows: DataFrame, n: int, within: Sequence[str]) -> dict[tuple, t
         return {}
     rank = f"row_number() over {window([*within, 'head'], 'draw, id')} as rank"
     ranked = rows.selectExpr("*", f"substring(draw, 1, {digits}) as head").selectExpr("*", rank)
-    last = F.lit(False)
-    for group, before in taken.items():
-        here = F.col("rank") == n - before
-        for name, value in zip(within, group):
-            here &= F.col(name) == value
-        last |= here
-    return {tuple(r[k] for k in within): (r["draw"], r["id"]) for r in ranked.where(last).collect()}
+    last = _by_group({g: F.lit(n - taken[g]) for g in heads}, within)
+    found = ranked.where(F.col("rank") == last).collect()
+    return {tuple(r[k] for k in within): (r["draw"], r["id"]) for r in found}
 
 
 def _kept(drawn_rows: DataFrame, cuts: Mapping[tuple, tuple], within: Sequence[str], id_col: str) -> DataFrame:
     """Rows with ``draw`` that are not after the cut of their group, if it has one."""
-    after = F.lit(False)
-    for group, (draw_, id_) in cuts.items():
-        here = (F.col("draw") > draw_) | ((F.col("draw") == draw_) & (F.col(id_col) > id_))
-        for name, value in zip(within, group):
-            here &= F.col(name) == value
-        after |= here
-    return drawn_rows.where(~after).drop("draw")
+    last = {g: F.struct(F.lit(draw_).alias("draw"), F.lit(id_).alias("id")) for g, (draw_, id_) in cuts.items()}
+    here = F.struct(F.col("draw"), F.col(id_col).alias("id"))
+    return drawn_rows.where(F.coalesce(here <= _by_group(last, within), F.lit(True))).drop("draw")
 
 
 def sample_n(

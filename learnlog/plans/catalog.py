@@ -63,8 +63,9 @@ def _from_questions(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def fill_global_mean(log: DataFrame) -> DataFrame:
-    means = matrix.fit_means(log)
-    rows = history.add_elapsed(history.add_lagtimes(history.user_runs(log), means), means)
+    runs = history.user_runs(log)
+    means = matrix.fit_means(runs)
+    rows = history.add_elapsed(history.add_lagtimes(runs, means), means)
     rows = rows.select(
         "row_id", "prior_question_elapsed_time", *HOURS, "delta_prior_question_elapsed_time"
     )
@@ -185,14 +186,16 @@ def _counts(column: str) -> Query:
 
 def _lagtime(column: str) -> Query:
     def build(log: DataFrame) -> DataFrame:
-        rows = history.add_lagtimes(history.user_runs(log), matrix.fit_means(log))
+        runs = history.user_runs(log)
+        rows = history.add_lagtimes(runs, matrix.fit_means(runs))
         return rounded(rows.select("row_id", column), 8, column)
 
     return _from_log(build)
 
 
 def delta_elapsed(log: DataFrame) -> DataFrame:
-    rows = history.add_elapsed(history.user_runs(log), matrix.fit_means(log))
+    runs = history.user_runs(log)
+    rows = history.add_elapsed(runs, matrix.fit_means(runs))
     return rows.select("row_id", "delta_prior_question_elapsed_time")
 
 
@@ -450,7 +453,7 @@ def queries() -> dict[str, Query]:
         "user_prev_ts": _from_log(history.previous_timestamps),
         "user_last_elapsed": _from_log(
             lambda log: rounded(
-                history.last_elapsed(log, matrix.fit_means(log)), 6, "prior_question_elapsed_time"
+                history.last_elapsed(log, history.overall_sums(log)), 6, "prior_question_elapsed_time"
             )
         ),
         "user_explanation_totals": _from_log(history.explanation_totals),

@@ -15,9 +15,7 @@ from learnlog.operators.encodings import (
 )
 from learnlog.operators.history import (
     answered,
-    global_means,
     history,
-    lag_edges,
     means_of,
     replaced,
     user_runs,
@@ -40,33 +38,41 @@ class Encodings:
     questions: DataFrame
 
 
-def fit_means(log: DataFrame) -> DataFrame:
-    return materialize(global_means(log), "means")
+def fit_means(runs: DataFrame) -> DataFrame:
+    """The means of a log's :func:`user_runs`, written: one row that later plans read."""
+    return materialize(means_of(runs), "means")
 
 
-def fit_log(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(means, content statistics, container statistics) from two scans of the log."""
-    sums, edges = concurrently(
+def fit_log(
+    log: DataFrame, runs: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(means, content statistics, container statistics): one scan for the sums, one for
+    the means. ``runs`` are the log's :func:`user_runs`, where they are at hand."""
+    sums, means = concurrently(
         log.sparkSession,
         lambda: materialize(log_sums(log), "sums"),
-        lambda: materialize(lag_edges(log), "edges"),
+        lambda: fit_means(user_runs(log) if runs is None else runs),
     )
-    contents, containers, overall = split_sums(sums)
-    means = means_of(overall, edges)
+    contents, containers, _ = split_sums(sums)
     return means, content_stats(contents, means), container_stats(containers)
 
 
 def fit(
-    log: DataFrame, questions: DataFrame, communities: DataFrame, seen_only: bool = False
+    log: DataFrame,
+    questions: DataFrame,
+    communities: DataFrame,
+    seen_only: bool = False,
+    runs: DataFrame | None = None,
 ) -> Encodings:
     """Fit the fills and target statistics on the answered rows of ``log``.
 
     ``seen_only`` keeps the features of the questions answered in ``log``: enough
-    for joining to the same log, and a smaller table to join.
+    for joining to the same log, and a smaller table to join. ``runs`` are the log's
+    :func:`user_runs`, where they are at hand.
     """
 
     def from_log():
-        means, contents, containers = fit_log(log)
+        means, contents, containers = fit_log(log, runs)
         return means, contents, containers, rollups(questions, contents)
 
     (means, contents, containers, rolled_up), codes = concurrently(
@@ -100,9 +106,8 @@ def _finish(
 
 def fit_history(log: DataFrame, limits: SliceLimits = DEFAULT_LIMITS) -> DataFrame:
     """The interaction features of a log with the means and statistics of the same log."""
-    (means, _, containers), runs = concurrently(
-        log.sparkSession, lambda: fit_log(log), lambda: user_runs(log, limits)
-    )
+    runs = user_runs(log, limits)
+    means, _, containers = fit_log(log, runs)
     return _finish(runs, means, containers)
 
 
@@ -131,11 +136,8 @@ def fit_labelled(
     ``choose`` samples or splits the rows by ``row_id`` and ``user_id`` as soon as their
     history is known: what it drops, or takes several times, is not joined before.
     """
-    encodings, runs = concurrently(
-        log.sparkSession,
-        lambda: fit(log, questions, communities, seen_only=True),
-        lambda: user_runs(log, limits),
-    )
+    runs = user_runs(log, limits)
+    encodings = fit(log, questions, communities, seen_only=True, runs=runs)
     rows = _finish(runs, encodings.means, encodings.containers, choose)
     return join_questions(rows, encodings.questions)
 

@@ -34,7 +34,8 @@ MIXED = ordered.SliceLimits(min_rows=120, max_users=1000, slice_rows=64)
 
 def features(spark, rows, limits):
     log = logs.frame(spark, rows)
-    result = history.history(history.user_runs(log, limits), matrix.fit_means(log))
+    runs = history.user_runs(log, limits)
+    result = history.history(runs, matrix.fit_means(runs))
     return {r["row_id"]: r.asDict() for r in result.collect()}
 
 
@@ -67,6 +68,51 @@ def test_slices_are_bounded_and_cover_the_log(spark):
     assert largest <= MIXED.slice_rows
 
 
+def _ids(kind):
+    """Row ids of one user among those of others."""
+    return {
+        "interleaved": [7 * i for i in range(2000)],
+        "clustered": [i * 10**9 + j for i in range(20) for j in range(100)],
+        "one far away": [*range(1999), 10**15],
+        "squares": [i * i for i in range(2000)],
+        "few": list(range(90)),
+    }[kind]
+
+
+@pytest.mark.parametrize("slice_rows", [64, 101, 1])
+@pytest.mark.parametrize("kind", ["interleaved", "clustered", "one far away", "squares", "few"])
+def test_slices_are_balanced(spark, kind, slice_rows):
+    ids = _ids(kind)
+    rows = [(i, 1) for i in ids] + [(max(ids) + 1 + i, 2 + i) for i in range(500)]
+    log = spark.createDataFrame(rows, "row_id long, user_id long")
+    limits = ordered.SliceLimits(min_rows=80, max_users=100_000, slice_rows=slice_rows)
+    ordinary, sliced = ordered.split_heavy(log, limits)
+    assert ordinary.count() == 500
+    found = sorted((r[ordered.SLICE], r["row_id"]) for r in sliced.collect())
+    assert [i for _, i in found] == sorted(ids)  # slices ascend with the ids
+    sizes = [list(s for s, _ in found).count(k) for k in sorted({s for s, _ in found})]
+    assert max(sizes) <= slice_rows
+    if slice_rows > 1:
+        assert min(sizes[:-1], default=slice_rows) >= slice_rows // 2
+
+
+def test_interleaved_heavy_users_change_nothing(spark):
+    """Two heavy users whose ids alternate with those of many others."""
+    rows = logs.random_log(900, seed=6)
+    for i, r in enumerate(rows):
+        r["user_id"] = 1 if i % 3 == 0 else 2 if i % 7 == 1 else 100 + i % 50
+        r["row_id"] = 10 * r["row_id"]
+    log = logs.frame(spark, rows)
+    limits = ordered.SliceLimits(min_rows=80, max_users=100_000, slice_rows=40)
+    _, sliced = ordered.split_heavy(log, limits)
+    per_slice = sliced.groupBy("user_id", ordered.SLICE).count().collect()
+    assert {r["user_id"] for r in per_slice} == {1, 2} and len(per_slice) < 20
+    for build in (history.interaction_counts, history.user_runs):
+        plain = build(log, PLAIN)
+        cut = build(log, limits).select(*plain.columns)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+
+
 def test_slice_without_answers_keeps_the_older_tail(spark):
     rows = [logs.row(i, 1, i * 10, 1, 1 if i < 4 else None) for i in range(20)]
     rows += [logs.row(20 + i, 1, 1000 + i, 1, 0) for i in range(5)]
@@ -87,12 +133,14 @@ def test_single_rows_leave_gaps_missing(spark):
 
 def test_empty_log(spark):
     log = logs.frame(spark, [])
-    assert history.history(history.user_runs(log), matrix.fit_means(log)).count() == 0
+    runs = history.user_runs(log)
+    assert history.history(runs, matrix.fit_means(runs)).count() == 0
 
 
-def test_global_means_equal_the_windowed_means(spark):
+@pytest.mark.parametrize("limits", [PLAIN, MIXED], ids=["plain", "mixed"])
+def test_global_means_equal_the_windowed_means(spark, limits):
     log = logs.frame(spark, logs.random_log(500, seed=9))
-    means = history.global_means(log).first()
+    means = history.global_means(log, limits).first()
     gaps = history.user_runs(log).selectExpr(
         *[f"avg(timestamp - _ts{k}) as {name}" for k, name in history.LAGS.items()]
     )
@@ -137,7 +185,7 @@ def test_state_tables(spark):
     assert (previous[3]["max_time_stamp2"], previous[3]["max_time_stamp3"]) == (1000, 1000)
     last = {r["user_id"]: r[1] for r in history.last_timestamps(log).collect()}
     assert last == {1: 0, 2: 5000, 3: 12000, 5: 90}
-    means = matrix.fit_means(log)
+    means = history.global_means(log)
     elapsed = {r["user_id"]: r[1] for r in history.last_elapsed(log, means).collect()}
     assert elapsed[3] == 900.0
     assert elapsed[5] == pytest.approx(means.first()["elapsed_mean"])  # missing, so filled

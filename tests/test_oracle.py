@@ -15,7 +15,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = catalog.queries()
 SQL = sql.oracle_sql()
 # Fitted models have no SQL; only these may go without.
-MODELS = {"gbt_fit", "gbt_score", "param_search", "best_params"}
+MODELS = {"gbt_fit", "gbt_score", "param_search", "best_params", "rung_search"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
