@@ -3,9 +3,9 @@
 All rolling word k-grams of the documents are joined by their hashes to the positions of
 equal k-grams in templates, known license texts and names. A hit at word p of a document and
 word t of a template votes for the diagonal p - t. Votes are counted by diagonal,
-neighbouring diagonals of a template, shifted by a word more or less, are merged, and a
-span is verified by the share of the template that it covers. Every hit has been compared word by
-word in the join, so the cover is exact.
+neighbouring diagonals of a template, apart where words were put in or left out, are merged,
+and a span is verified by the share of the template's words that it holds. Every hit has been
+compared word by word in the join.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,8 +16,8 @@ from learnlog.sources.tables import materialize
 
 #: Words in a gram of a license text, and in one of a license name.
 GRAM, NAME_GRAM = 5, 2
-#: Words by which diagonals of one span may differ, and words between their parts.
-SHIFT, GAP = 12, 40
+#: Words that may be put in or left out between two parts of a span.
+GAP = 40
 #: Share of a license text that a span must cover.
 LEAST_COVER = 0.6
 #: Template words up to which the positions are broadcast; above, Spark shuffles the join.
@@ -188,48 +188,66 @@ _SPAN = {
 }
 
 
+_KEYS = ["doc_id", "digest", "template", "label", "named", "length"]
+
+
 def _diagonals(hits: DataFrame) -> DataFrame:
-    """Votes by document, template and diagonal: the words covered, and from where to where."""
-    keys = ["doc_id", "digest", "template", "label", "named", "length"]
+    """Votes by document, template and diagonal: the template's words that are there, the
+    first of them, and from where to where they stand in the document."""
     size = F.when(F.col("named"), NAME_GRAM).otherwise(GRAM)
-    votes = hits.groupBy(*keys, (F.col("pos") - F.col("place")).alias("diagonal")).agg(
+    votes = hits.groupBy(*_KEYS, (F.col("pos") - F.col("place")).alias("diagonal")).agg(
         # At most as many places as the template has words.
         F.collect_set("place").alias("places")
     )
-    breaks = F.expr("size(filter(places, p -> not array_contains(places, p - 1)))")
+    covered = F.flatten(F.transform("places", lambda p: F.sequence(p, p + size - 1)))
     first, last = F.array_min("places"), F.array_max("places")
-    covered = F.least(F.size("places") + (size - 1) * breaks, last - first + size)
     return votes.select(
-        *keys,
+        *_KEYS,
         "diagonal",
-        covered.alias("covered"),
+        F.array_distinct(covered).alias("covered"),
+        first.alias("first"),
         (F.col("diagonal") + first).alias("start"),
         (F.col("diagonal") + last + size).alias("end"),
     )
 
 
 def _merged(diagonals: DataFrame) -> DataFrame:
-    """Verified spans: whole names, and merged neighbouring diagonals of license texts."""
-    names = diagonals.where("named and covered = length").withColumn("cover", F.lit(1.0))
-    keys = ["doc_id", "digest", "template", "label", "named", "length"]
-    order = Window.partitionBy(*keys).orderBy("start", "diagonal")
-    before = F.lag("diagonal").over(order)
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    """Verified spans: whole names, and merged neighbouring diagonals of license texts.
+
+    A diagonal joins the one before it in the document if it lies at most ``GAP`` words
+    after what is joined so far, is shifted by at most ``GAP`` words, and begins later in the
+    template too; so a passage that is repeated begins a span of its own. Where a template
+    repeats itself, its words also vote for other places: a diagonal whose words in the
+    document all belong to the one around it is left out. The cover of a span is the share of
+    the template's words that any of its diagonals holds, each word once.
+    """
+    names = diagonals.where("named and size(covered) = length").withColumn("cover", F.lit(1.0))
+    texts = diagonals.where("not named")
+    order = Window.partitionBy(*_KEYS).orderBy("start", F.desc("end"), "diagonal")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    texts = texts.withColumn("at", F.expr("transform(covered, w -> w + diagonal)"))
+    texts = texts.withColumn("around", F.max(F.struct("end", "at")).over(earlier)).where(
+        "around is null or end > around.end or size(array_except(at, around.at)) > 0"
+    )
     apart = (
-        before.isNull()
-        | (F.abs(F.col("diagonal") - before) > SHIFT)
-        | (F.col("start") > reach + GAP)
+        F.lag("diagonal").over(order).isNull()
+        | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > GAP)
+        | (F.col("first") <= F.lag("first").over(order))
+        | (F.col("start") > F.max("end").over(earlier) + GAP)
     )
-    parts = diagonals.where("not named").withColumn("apart", apart.cast("int"))
+    parts = texts.withColumn("apart", apart.cast("int"))
     parts = parts.withColumn("part", F.sum("apart").over(order))
-    texts = parts.groupBy(*keys, "part").agg(
-        F.sum("covered").alias("covered"), F.min("start").alias("start"), F.max("end").alias("end")
+    # A span has fewer diagonals than its template has words: their firsts ascend.
+    texts = parts.groupBy(*_KEYS, "part").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("words"),
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
     )
-    # Neighbouring diagonals may cover a word twice; a span covers no more words than it has.
-    most = F.least("covered", F.col("end") - F.col("start"), "length")
-    texts = texts.withColumn("cover", most / F.col("length")).where(F.col("cover") >= LEAST_COVER)
+    texts = texts.withColumn("cover", F.col("words") / F.col("length"))
     columns = ["doc_id", "digest", *_SPAN]
-    return names.select(*columns).unionByName(texts.select(*columns))
+    return names.select(*columns).unionByName(
+        texts.where(F.col("cover") >= LEAST_COVER).select(*columns)
+    )
 
 
 def summary(docs: DataFrame, names: dict = NAMES, texts: dict = TEXTS) -> DataFrame:

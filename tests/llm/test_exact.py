@@ -256,6 +256,97 @@ def test_license_texts_with_edits(spark):
     assert (found[4].n_base, found[4].first_word, found[4].last_word) == (2, 0, 2)
 
 
+def summaries(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in licenses.summary(frame).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_repeated_passages_are_no_license(spark):
+    """One passage of a license, however often, covers its words once."""
+    texts = []
+    for label in ("isc", "bsd", "mit"):
+        words = licenses.TEXTS[label][0].split()
+        for first, length in ((0, 10), (5, 8), (12, 10)):
+            for times in (2, 3, 9):
+                for between in ("", " and then some other words", " x" * 15):
+                    texts.append((" ".join(words[first : first + length]) + between + " ") * times)
+    assert {(r.labels, r.score) for r in summaries(spark, texts)} == {("", 0.0)}
+
+
+@pytest.mark.parametrize("label", ["mit", "bsd", "apache", "gpl"])
+def test_inserted_words_keep_the_license(spark, label):
+    words = licenses.TEXTS[label][0].split()
+    cuts = [len(words) // 2, len(words) // 3]
+    texts = [
+        " ".join([*words[:cut], *[f"holder{i}" for i in range(n)], *words[cut:]])
+        for cut in cuts for n in (1, 12, 13, 20, 40)
+    ] + [" ".join([*words[:cut], *words[cut + 5 :]]) for cut in cuts]
+    for row in summaries(spark, texts):
+        assert row.labels == label and 0.75 < row.score <= 1
+    apart = " ".join([*words[: cuts[0]], *["word"] * 60, *words[cuts[0] :]])
+    if label in ("mit", "bsd"):  # the others hold a name, which stands by itself
+        assert summaries(spark, [apart])[0].labels == ""
+    assert summaries(spark, [" ".join(words)])[0].score == 1.0
+
+
+def brute_license_score(text):
+    """The best chain of a template's k-grams, by the rules, one pair of words at a time."""
+    words, best, labels = re.findall(WORD_PATTERN, lowered(text)), 0.0, set()
+    for label, own in licenses.TEXTS.items():
+        for template in own:
+            t = re.findall(WORD_PATTERN, lowered(template))
+            votes = {}
+            for p in range(len(words) - licenses.GRAM + 1):
+                for q in range(len(t) - licenses.GRAM + 1):
+                    if words[p : p + licenses.GRAM] == t[q : q + licenses.GRAM]:
+                        votes.setdefault(p - q, set()).update(range(q, q + licenses.GRAM))
+            rows = sorted((min(c) + d, -(max(c) + d + 1), d, c) for d, c in votes.items())
+            kept, around = [], None
+            for start, end, d, c in rows:
+                at = {x + d for x in c}
+                if around is None or -end > around[0] or at - around[1]:
+                    kept.append((start, -end, d, c))
+                if around is None or -end > around[0]:
+                    around = (-end, at)
+            span, spans = None, []
+            for start, end, d, c in kept:
+                if (
+                    span is None or abs(d - span["d"]) > licenses.GAP or min(c) <= span["first"]
+                    or start > span["end"] + licenses.GAP
+                ):
+                    span = {"words": set(), "end": end}
+                    spans.append(span)
+                span.update(d=d, first=min(c), end=max(span["end"], end))
+                span["words"] |= c
+            for span in spans:
+                cover = len(span["words"]) / len(t)
+                if cover >= licenses.LEAST_COVER:
+                    labels.add(label)
+                    best = max(best, cover)
+    return labels, best
+
+
+def test_license_labels_and_scores(spark):
+    """Random cuts, copies and insertions of licenses against a slow scan."""
+    draw, texts = random.Random(8), []
+    pool = [t.split() for own in licenses.TEXTS.values() for t in own]
+    for _ in range(60):
+        words = []
+        for _ in range(draw.randint(1, 3)):
+            part = list(draw.choice(pool))
+            for _ in range(draw.randint(0, 3)):
+                at = draw.randrange(len(part))
+                part[at : at + draw.randint(0, 6)] = ["other"] * draw.randint(0, 45)
+            words += ["between"] * draw.randint(0, 60) + part
+        texts.append(" ".join(words))
+    for text, row in zip(texts, summaries(spark, texts)):
+        labels, best = brute_license_score(text)
+        named = set(filter(None, row.base_labels.split(",")))
+        assert set(filter(None, row.labels.split(","))) == labels | named
+        assert row.score == pytest.approx(1.0 if named else best)
+
+
 def test_automaton_against_edit_distances():
     words = "idiot worthless scum moron clown pathetic loser trash disgusting stupid".split()
     automaton = toxicity.compiled(toxicity.Lexicon(words, ["veju"], {}))
