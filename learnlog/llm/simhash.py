@@ -34,6 +34,9 @@ BUCKET = 4096
 #: Fixed value: the seed of the shingle hash.
 SEED = 42
 
+#: What tells texts under one id apart.
+TEXT_KEY = F.expr("xxhash64(text, char_length(text))")
+
 _LOWER_BYTES = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _SPACE = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 
@@ -63,7 +66,8 @@ def fingerprint_of(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (signed 64-bit) of every whole text.
+    """``doc_id``, ``text_key`` (a hash of the text) and ``fingerprint`` (signed 64-bit) of
+    every whole text.
 
     NULL texts and texts without a word have fingerprint zero. Repeated rows
     stay rows of their own; other columns are not read.
@@ -80,7 +84,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
         return compute
 
-    return map_texts(docs, [("fingerprint", pa.int64())], make)
+    keyed = docs.select("doc_id", TEXT_KEY.alias("text_key"), "text")
+    return map_texts(keyed, [("fingerprint", pa.int64())], make, keep=["text_key"])
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
@@ -177,14 +182,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataF
     return both.mapInArrow(_linker(radius), "a bigint, b bigint").distinct()
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (signed) and ``component_id`` of every row.
-
-    Documents are linked if their fingerprints differ in at most ``radius`` bits;
-    ``component_id`` is the smallest ``doc_id`` that links reach, the own one included. Rows
-    with a NULL id are linked too but lend no id: a component without any id has a NULL
-    one. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """:func:`fingerprints` with ``component``, a fingerprint of the group, and
+    ``component_id``, the smallest id in it."""
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     # A node is a distinct fingerprint, known by itself; its documents are never listed.
     least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
@@ -195,15 +195,34 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Dat
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
     ids = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = materialize(members.join(ids, "component").select("fingerprint", "component_id"), "ids")
-    return prints.join(known, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    known = members.join(ids, "component").select("fingerprint", "component", "component_id")
+    return prints.join(materialize(known, "ids"), "fingerprint")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (signed) and ``component_id`` of every row.
+
+    Documents are linked if their fingerprints differ in at most ``radius`` bits;
+    ``component_id`` is the smallest ``doc_id`` that links reach, the own one included. Rows
+    with a NULL id are linked too but lend no id: a component without any id has a NULL
+    one. An empty table gives no rows.
+    """
+    return _grouped(docs, shingle, radius).select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each group, all its columns: the one with the smallest ``doc_id``.
+    """One document of each group, all its columns: the one with the smallest ``doc_id``, of
+    several texts under that id the one with the smallest hash.
 
-    Of rows that repeat that id one stays. Rows with a NULL id are kept: nothing names them.
+    Different texts under one id that are not alike are in different groups, and both stay.
+    Of rows that repeat an id and its text one stays. Rows with a NULL id are kept: nothing
+    names them.
     """
-    kept = groups(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    named = _grouped(docs, shingle, radius).where("doc_id is not null")
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    columns = docs.columns
+    key = "_" * max(map(len, columns)) + "key"  # no column has this name
+    kept = first.select("first.doc_id", F.col("first.text_key").alias(key))
+    rows = docs.withColumn(key, TEXT_KEY).join(kept, ["doc_id", key], "left_semi")
+    rows = rows.dropDuplicates(["doc_id", key]).select(*columns)
+    return rows.unionByName(docs.where("doc_id is null").select(*columns))

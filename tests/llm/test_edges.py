@@ -85,6 +85,15 @@ def test_filters_keep_columns(odd, labels, benchmark):
     assert quality_crf.keep_good(odd, quality_crf.fit(odd, labels)).columns == odd.columns
 
 
+def test_texts_under_one_id_are_not_lost(spark):
+    one, other = "a b c d e f g h i j k l", "quite another text with words of its own in it"
+    rows = [(5, one, 1), (5, other, 2), (5, one, 1), (6, one, 3), (7, other, 4), (8, "third one here", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, text_key int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(5, one, 1), (5, other, 2), (8, "third one here", 5)]
+
+
 def test_pages(spark):
     rows = [(1, "u", None, 1), (None, None, "<p>a</p>", 1), (2, "v", "", 1), (2, "v", "<p>x<br>y", 1)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
