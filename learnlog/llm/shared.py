@@ -43,12 +43,12 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def slices(lengths: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about SLICE_CHARS; a longer text ends its run."""
+def slices(lengths: Sequence[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most`` bytes; a longer text ends its run."""
     start = size = 0
     for i, length in enumerate(lengths):
         size += length
-        if size >= SLICE_CHARS:
+        if size >= most:
             yield start, i + 1
             start, size = i + 1, 0
     if start < len(lengths):
@@ -63,6 +63,7 @@ def map_texts(
     text: str = "text",
     keep: Sequence[str] = (),
     with_keys: bool = False,
+    slice_chars: int = SLICE_CHARS,
 ) -> DataFrame:
     """One row per row: ``key``, ``keep`` and the ``fields`` computed from ``text``.
 
@@ -77,7 +78,7 @@ def map_texts(
         compute = make()
         for batch in batches:
             lengths = pc.binary_length(batch.column("__text")).fill_null(0).to_pylist()
-            for a, b in slices(lengths):
+            for a, b in slices(lengths, slice_chars):
                 part = batch.slice(a, b - a)
                 columns = [part.column(c) for c in carried]
                 keys = [columns[0].to_pylist()] if with_keys else []

@@ -33,6 +33,8 @@ from learnlog.llm.shared import ChunkTable, map_texts, small_batches, spans
 
 #: Bytes of text that go into one file of records.
 SHARD_BYTES = 32 << 20
+#: Bytes of text that are looked up at a time: their chunks should stay in a core's cache.
+SLICE_BYTES = 200_000
 
 # The mask of the checksums.
 ROTATION, ADDED = 15, 0xA282EAD8
@@ -129,10 +131,10 @@ class _Table(ChunkTable):
         for chunk in chunks:
             end = chunk[-1:] if chunk[-1:] in (".", ",") else ""
             word = chunk[:-1] if end else chunk
-            if word.isalpha() and word == word.lower() and max(word) < "\u0100":
+            if word.isalpha() and word.islower() and (word.isascii() or max(word) < "\u0100"):
                 ids = self.rows.get(word) or made.get(word)
                 if ids is None:
-                    tokens = tokenize(word.translate(self.spelled))
+                    tokens = tokenize(word if word.isascii() else word.translate(self.spelled))
                     ids = array(self.code, [t.id for t in tokens]).tobytes()
                 made[chunk] = ids + self.ends[end]
             else:
@@ -213,7 +215,9 @@ def write(
         return compute
 
     ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    framed_rows = map_texts(ordered, [("record", pa.binary())], make, with_keys=True)
+    framed_rows = map_texts(
+        ordered, [("record", pa.binary())], make, with_keys=True, slice_chars=SLICE_BYTES
+    )
     lines = framed_rows.select(F.col("record").cast("string"))
     lines.write.option("lineSep", "\n").option("compression", "none").text(f"{folder}/records")
     scanned = _scan_index(spark, folder)
