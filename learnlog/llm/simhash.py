@@ -35,7 +35,7 @@ BUCKET = 4096
 SEED = 42
 
 #: What tells texts under one id apart.
-TEXT_KEY = F.expr("xxhash64(text, char_length(text))")
+TEXT_KEY = "xxhash64(text, char_length(text))"
 
 _LOWER_BYTES = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _SPACE = bytes(32 if 9 <= i <= 13 else i for i in range(256))
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
         return compute
 
-    keyed = docs.select("doc_id", TEXT_KEY.alias("text_key"), "text")
+    keyed = docs.select("doc_id", F.expr(TEXT_KEY).alias("text_key"), "text")
     return map_texts(keyed, [("fingerprint", pa.int64())], make, keep=["text_key"])
 
 
@@ -223,6 +223,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     columns = docs.columns
     key = "_" * max(map(len, columns)) + "key"  # no column has this name
     kept = first.select("first.doc_id", F.col("first.text_key").alias(key))
-    rows = docs.withColumn(key, TEXT_KEY).join(kept, ["doc_id", key], "left_semi")
+    rows = docs.withColumn(key, F.expr(TEXT_KEY)).join(kept, ["doc_id", key], "left_semi")
     rows = rows.dropDuplicates(["doc_id", key]).select(*columns)
     return rows.unionByName(docs.where("doc_id is null").select(*columns))
