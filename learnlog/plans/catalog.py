@@ -11,7 +11,7 @@ from learnlog.functions import columns as fn
 from learnlog.ml import boosting, gbt, nodes, prep, search
 from learnlog.operators import encodings, history, lectures, metrics, questions, splits
 from learnlog.plans import matrix
-from learnlog.sources import fixtures, readers
+from learnlog.sources import fixtures, readers, sinks
 from learnlog.sources.tables import materialize, new_table
 
 SEED = 2020
@@ -280,6 +280,16 @@ def gbt_fit(spark: SparkSession, d: str) -> DataFrame:
     return metrics.roc_auc(scored, within=["fold", "split"])
 
 
+def gbt_category_stump(spark: SparkSession, d: str) -> DataFrame:
+    """One split of ``part`` as a category: which of its values go left, SQL can tell."""
+    rows = matrix.labelled_questions(_log(spark, d), fixtures.questions(spark, d))
+    split = splits.holdout_split(rows, SEED, ids=_ids(spark, d))
+    rows = gbt.assemble(split, ["part"], categories=["part"])
+    model = gbt.fit(rows, {"maxIter": 1, "maxDepth": 1, "stepSize": 1.0})
+    scored = gbt.score(model, rows.where(F.col("split") == "valid"))
+    return rounded(scored.select("row_id", schemas.TARGET, "score"), 6, "score")
+
+
 def gbt_rounds(spark: SparkSession, d: str) -> DataFrame:
     """Stumps on ``part`` alone, a few rounds in every fold: the AUC of each round and split,
     which SQL can tell."""
@@ -341,6 +351,15 @@ def rung_search(spark: SparkSession, d: str) -> DataFrame:
     return search.run_rungs(_holdout(spark, d), points)
 
 
+def write_features(spark: SparkSession, d: str) -> DataFrame:
+    """The folds as a feature table with a folder per fold and split, read back."""
+    folds = splits.repeated_folds(history.answered(_log(spark, d)), SEED)
+    folds = folds.select("row_id", schemas.TARGET, "valid_kind", "fold", "split")
+    path = new_table(spark, "features")
+    sinks.write_features(folds, path, ["fold", "split"])
+    return spark.read.schema(folds.schema).parquet(path)
+
+
 def _scanned(
     view: Callable[[SparkSession, str], DataFrame],
     layout: T.StructType,
@@ -548,8 +567,10 @@ def queries() -> dict[str, Query]:
         "gbt_fit": gbt_fit,
         "gbt_score": gbt_score,
         "gbt_stump": gbt_stump,
+        "gbt_category_stump": gbt_category_stump,
         "gbt_rounds": gbt_rounds,
         "gbt_reloaded": gbt_reloaded,
+        "write_features": write_features,
         "preprocess": preprocess,
         "param_search": param_search,
         "best_params": best_params,

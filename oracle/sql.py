@@ -573,6 +573,33 @@ def oracle_sql() -> dict[str, str]:
               round(1 / (1 + exp(-2 * case when part <= cut then low else high end)), 6) as score
             from marked, best where valid""",
         ),
+        "gbt_category_stump": _query(
+            [*_ANSWERED, QUESTIONS],
+            f""",marked as (
+              select row_id, answered_correctly, {_PART} as part, {NEW_USER} or {HELD_OUT} as valid
+              from answered left join questions on content_id = question_id),
+            sums as (
+              select part, count(*) as n, sum(2 * answered_correctly - 1) as s
+              from marked where not valid group by part),
+            cuts as (
+              select list(part) over w as chosen, row_number() over w as place,
+                count(*) over () as parts, sum(n) over w as n1, sum(s) over w as s1,
+                sum(n) over () as n, sum(s) over () as s
+              from sums window w as (order by s / n, part)),
+            best as (
+              select chosen, s1 / n1 as low, (s - s1) / (n - n1) as high from cuts
+              where place < parts
+              order by s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) desc, place limit 1)
+            select row_id, answered_correctly, round(
+              1 / (1 + exp(-2 * case when list_contains(chosen, part) then low else high end)), 6) as score
+            from marked, best where valid""",
+        ),
+        "write_features": _query(
+            [*_ANSWERED, FOLDS],
+            """select row_id, answered_correctly, valid_kind, fold,
+            case when valid_kind is null then 'train' else 'valid' end as split
+            from folds join answered using (row_id)""",
+        ),
         "gbt_rounds": _query(
             [*_ANSWERED, QUESTIONS, FOLDS],
             f""",counts as (
