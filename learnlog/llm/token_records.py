@@ -21,20 +21,20 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from learnlog.llm.shared import ChunkTable, map_texts, small_batches, spans
+from learnlog.llm.shared import ChunkTable, map_texts, small_batches
 
 #: Bytes of text that go into one file of records.
 SHARD_BYTES = 32 << 20
-#: Bytes of text that are looked up at a time: their chunks should stay in a core's cache.
-SLICE_BYTES = 200_000
+#: Bytes of text whose distinct chunks are looked up at a time.
+SLICE_BYTES = 8 << 20
 
 # The mask of the checksums.
 ROTATION, ADDED = 15, 0xA282EAD8
@@ -84,8 +84,8 @@ def unpacked(payload: bytes) -> tuple[int | None, bytes]:
     return None if flags & 1 else doc_id, ids
 
 
-def chunks_of(text: str) -> list[str]:
-    """Pieces of text, apart at white space, that no token crosses.
+def folded(text: str) -> str:
+    """The text with the pieces that no token crosses apart at spaces.
 
     Spaces and line feeds only divide: the tokenizer drops them. Latin-1 texts,
     which Unicode normalization leaves alone, are also lower-cased as the
@@ -96,7 +96,11 @@ def chunks_of(text: str) -> list[str]:
         text = text.lower()
     except UnicodeEncodeError:
         pass
-    return text.replace("\n", " ").split(" ")
+    return text.replace("\n", " ")
+
+
+def chunks_of(text: str) -> list[str]:
+    return folded(text).split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -174,9 +178,15 @@ def _encoder(path: str, end_id: int) -> Callable[[list[str | None]], list[bytes]
     table, end = _table(path, code), array(code, [end_id]).tobytes()
 
     def by_chunk(texts: list[str | None]) -> list[bytes]:
-        chunks = [chunks_of(t or "") for t in texts]
-        found = table.look_up(list(chain.from_iterable(chunks)))
-        return [b"".join(found[a:b]) + end for a, b in spans(chunks)]
+        # Split, find the distinct chunks and put their ids back by position, all outside Python.
+        split = pc.split_pattern(pa.array([folded(t or "") for t in texts], pa.string()), " ")
+        chunks = split.flatten().dictionary_encode()
+        made = pa.array(table.look_up(chunks.dictionary.to_pylist()), pa.binary())
+        placed = made.take(chunks.indices)
+        _, offsets, data = placed.buffers()
+        ends = np.frombuffer(offsets, np.int32)[split.offsets.to_numpy()].tolist()
+        ids = data.to_pybytes() if data else b""
+        return [ids[a:b] + end for a, b in zip(ends, ends[1:])]
 
     def whole(texts: list[str | None]) -> list[bytes]:
         found = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)

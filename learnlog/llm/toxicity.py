@@ -2,14 +2,16 @@
 
 The lexicon is learned: words, and beginnings of words, that mark toxic documents among the
 learning rows. The trie of its terms and the automata of their edit
-distances are compiled into one table of a deterministic automaton; it reads the
-distinct words of a task, all at once, a letter a step. A hit is a term, or something one
-edit away from a long one. The words around a hit tell quotation from abuse: quotation
+distances are walked as one deterministic automaton, made as far as words need it; it reads the
+distinct words of a task, all at once, a letter a step. A hit is a word of the lexicon,
+something one edit away from a long one or two from a longer one, or a word that begins
+as a learned stem does, letter by letter. The words around a hit tell quotation from abuse: quotation
 marks, words of reporting, negation and second persons in a window. A logistic model over
 sums of hit scores gives the probability of label 1.
 """
 
 import re
+from array import array
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -26,9 +28,8 @@ from learnlog.sources.tables import materialize
 
 #: Labelled documents of each class that lexicon and weights are learned from, at most.
 SAMPLE = 20_000
-#: Words and beginnings of words in the lexicon, at most, the best by evidence; and how many of the
-#: words may be misspelled. Both bound the automaton.
-TERMS, MISSPELLED = 500, 60
+#: States of the automaton that a task keeps between its batches of words.
+MOST_STATES = 200_000
 #: Toxic learning documents that a term must occur in.
 LEAST_DOCUMENTS = 5
 #: Times as frequent among toxic learning documents as among others, at least.
@@ -75,31 +76,118 @@ class Lexicon:
     evidence: dict[str, float] = field(default_factory=dict)
 
 
-@dataclass
 class Automaton:
-    """The trie of the lexicon, walked by all edit automata at once, as one transition table.
+    """The trie of the lexicon, walked by all edit automata at once.
 
-    ``step[state, letter]`` is the next state, 0 a dead end; ``accepts`` the hit code of a word
-    that ends in a state, ``begins`` that of any word that passes it; 0 is none.
+    A state is a set of trie nodes with the edits that reaching each has taken. States and
+    transitions are made when a word first needs them and kept in tables, up to
+    ``MOST_STATES``; so the lexicon has no bound and each of its words has its automaton.
     """
 
-    letters: dict[str, int]
-    step: np.ndarray
-    accepts: np.ndarray
-    begins: np.ndarray
-    hits: list[tuple[str, str, int]]  # by code: kind, term, edits
+    def __init__(self, lexicon: Lexicon):
+        self.children: list[dict[int, int]] = [{}]
+        ends = [(self._insert(word), "word", word) for word in lexicon.words]
+        ends += [(self._insert(stem), "stem", stem) for stem in lexicon.stems]
+        self.letters = sorted({c for node in self.children for c in node})
+        #: By code: kind, term, edits; code 0 is no hit.
+        self.hits: list[tuple[str, str, int]] = [("", "", 9)]
+        self.word_at: dict[int, tuple[str, int, int]] = {}  # word, edits allowed, its first code
+        self.stem_at: dict[int, int] = {}
+        for node, kind, term in ends:
+            most = edits_allowed(term) if kind == "word" else 0
+            if kind == "word":
+                self.word_at[node] = (term, most, len(self.hits))
+            else:
+                self.stem_at[node] = len(self.hits)
+            self.hits += [(kind, term, edits) for edits in range(most + 1)]
+        # Edits worth following below each node; a child has a larger number than its parent.
+        self.most = [0] * len(self.children)
+        for node in range(len(self.children) - 1, -1, -1):
+            own = self.word_at[node][1] if node in self.word_at else 0
+            self.most[node] = max([own, *(self.most[c] for c in self.children[node].values())])
+        self._forget()
+
+    def _insert(self, term: str) -> int:
+        node = 0
+        for letter in map(ord, term):
+            if letter not in self.children[node]:
+                self.children.append({})
+                self.children[node][letter] = len(self.children) - 1
+            node = self.children[node][letter]
+        return node
+
+    def _forget(self) -> None:
+        """Only the dead state 0 and the start 1."""
+        self.numbers: dict[bytes, int] = {}
+        self.pairs: list[bytes] = []
+        self.step = np.full((1024, len(self.letters) + 1), -1, np.int32)
+        self.accepts, self.begins = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self._number({})
+        self._number({0: 0})
+
+    def _number(self, reached: dict[int, int]) -> int:
+        """The state of nodes and edits, with the nodes reached by leaving letters out."""
+        queue = deque(reached.items())
+        while queue:
+            node, edits = queue.popleft()
+            for child in self.children[node].values():
+                if edits < self.most[child] and edits + 1 < reached.get(child, 99):
+                    reached[child] = edits + 1
+                    queue.append((child, edits + 1))
+        key = array("q", sorted(4 * node + edits for node, edits in reached.items())).tobytes()
+        state = self.numbers.get(key)
+        if state is None:
+            state = self.numbers[key] = len(self.pairs)
+            self.pairs.append(key)
+            if state == len(self.step):
+                self.step = np.concatenate((self.step, np.full_like(self.step, -1)))
+                self.accepts = np.concatenate((self.accepts, np.zeros_like(self.accepts)))
+                self.begins = np.concatenate((self.begins, np.zeros_like(self.begins)))
+            if not reached:
+                self.step[state] = 0
+            near = [
+                (edits, word, code)
+                for node, edits in reached.items()
+                if node in self.word_at
+                for word, most, code in (self.word_at[node],)
+                if edits <= most
+            ]
+            if near:
+                edits, _, code = min(near)
+                self.accepts[state] = code + edits
+            passed = [self.stem_at[n] for n, edits in reached.items() if n in self.stem_at and not edits]
+            if passed:
+                self.begins[state] = passed[0]
+        return state
+
+    def _fill(self, state: int, letter: int) -> None:
+        point = self.letters[letter] if letter < len(self.letters) else None
+        after: dict[int, int] = {}
+        for pair in memoryview(self.pairs[state]).cast("q"):
+            node, edits = pair >> 2, pair & 3
+            child = self.children[node].get(point)
+            moves = [(child, edits)] if child is not None else []
+            if edits < self.most[node]:
+                moves.append((node, edits + 1))  # a letter too many
+                moves += [(c, edits + 1) for c in self.children[node].values() if c != child]
+            for to, cost in moves:
+                if cost <= self.most[to] and cost < after.get(to, 99):
+                    after[to] = cost
+        target = self._number(after)
+        self.step[state, letter] = target
 
     def codes(self, words: list[str]) -> list[int]:
         """The hit code of each word: an exact term, else a stem, else a misspelled term."""
         if not self.letters:
             return [0] * len(words)
+        if len(self.pairs) > MOST_STATES:
+            self._forget()
         width = LONGEST + 3
         flat = "".join([w[:width].ljust(width, "\0") for w in words])
         points = np.frombuffer(flat.encode("utf-32-le"), "<u4").reshape(len(words), width)
-        known = np.array(sorted(map(ord, self.letters)), np.uint32)
-        numbers = np.array([self.letters[chr(c)] for c in known])
+        known = np.array(self.letters, np.uint32)
         at = np.minimum(np.searchsorted(known, points), len(known) - 1)
-        letters = np.where(known[at] == points, numbers[at], len(self.letters))
+        letters = np.where(known[at] == points, at, len(known))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         state = np.ones(len(words), np.int64)
         stem = np.zeros(len(words), np.int64)
@@ -107,101 +195,18 @@ class Automaton:
             live = np.flatnonzero((sizes > i) & (state > 0))
             if not len(live):
                 break
-            state[live] = self.step[state[live], letters[live, i]]
+            now, letter = state[live], letters[live, i]
+            missing = self.step[now, letter] < 0
+            if missing.any():
+                for key in np.unique(now[missing] * (len(known) + 1) + letter[missing]).tolist():
+                    self._fill(*divmod(key, len(known) + 1))
+            state[live] = self.step[now, letter]
             stem[live] = np.where(stem[live] > 0, stem[live], self.begins[state[live]])
         whole = np.where(sizes <= width, self.accepts[state], 0)
         exact = np.array([edits == 0 for _, _, edits in self.hits])
         return np.where((whole > 0) & (exact[whole] | (stem == 0)), whole, stem).tolist()
 
 
-def compiled(lexicon: Lexicon) -> Automaton:
-    """Determinize the pairs of trie node and edits so far, one letter at a time."""
-    children: list[dict[str, int]] = [{}]
-    word_at: dict[int, str] = {}
-    stem_at: dict[int, str] = {}
-    fuzzy = set(lexicon.words[:MISSPELLED])
-
-    def insert(term: str) -> int:
-        node = 0
-        for letter in term:
-            if letter not in children[node]:
-                children.append({})
-                children[node][letter] = len(children) - 1
-            node = children[node][letter]
-        return node
-
-    for word in lexicon.words:
-        word_at[insert(word)] = word
-    for stem in lexicon.stems:
-        stem_at[insert(stem)] = stem
-    # Edits worth following below each node.
-    most = [0] * len(children)
-    for node in range(len(children) - 1, -1, -1):
-        own = edits_allowed(word_at[node]) if word_at.get(node) in fuzzy else 0
-        most[node] = max([own, *(most[c] for c in children[node].values())])
-
-    def closed(pairs: dict[int, int]) -> tuple[tuple[int, int], ...]:
-        """With the nodes reached by leaving letters of the trie out; least edits of each."""
-        queue = deque(pairs.items())
-        while queue:
-            node, edits = queue.popleft()
-            for child in children[node].values():
-                if edits + 1 <= most[child] and edits + 1 < pairs.get(child, 99):
-                    pairs[child] = edits + 1
-                    queue.append((child, edits + 1))
-        return tuple(sorted(pairs.items()))
-
-    letters = {c: i for i, c in enumerate(sorted({c for node in children for c in node}))}
-    start = closed({0: 0})
-    states: dict[tuple, int] = {(): 0, start: 1}
-    table: list[list[int]] = [[0] * (len(letters) + 1)]
-    queue = deque([start])
-    while queue:
-        pairs = queue.popleft()
-        row = []
-        for letter in [*letters, None]:
-            after: dict[int, int] = {}
-            for node, edits in pairs:
-                child = children[node].get(letter)
-                moves = [(child, edits)] if child is not None else []
-                if edits < most[node]:
-                    moves.append((node, edits + 1))  # a letter too many
-                    moves += [(c, edits + 1) for c in children[node].values() if c != child]
-                for to, cost in moves:
-                    if cost <= most[to] and cost < after.get(to, 99):
-                        after[to] = cost
-            target = closed(after)
-            if target not in states:
-                states[target] = len(states)
-                queue.append(target)
-            row.append(states[target])
-        table.append(row)
-    hits: list[tuple[str, str, int]] = [("", "", 9)]
-    number: dict[tuple[str, str, int], int] = {}
-
-    def code(hit: tuple[str, str, int]) -> int:
-        if hit not in number:
-            number[hit] = len(hits)
-            hits.append(hit)
-        return number[hit]
-
-    accepts, begins = np.zeros(len(states), np.int64), np.zeros(len(states), np.int64)
-    for pairs, state in states.items():
-        ends = [
-            (edits, word_at[node])
-            for node, edits in pairs
-            if node in word_at
-            and edits <= (edits_allowed(word_at[node]) if word_at[node] in fuzzy else 0)
-        ]
-        if ends:
-            edits, word = min(ends)
-            accepts[state] = code(("word", word, edits))
-        passed = [stem_at[node] for node, edits in pairs if node in stem_at and not edits]
-        if passed:
-            begins[state] = code(("stem", passed[0], 0))
-    return Automaton(letters, np.array(table), accepts, begins, hits)
-
-
 def _mine(rows: DataFrame, counts: dict[int, int]) -> Lexicon:
     """Terms by the learning documents of each class that use them."""
     small_batches(rows.sparkSession)
@@ -240,14 +245,17 @@ def _mine(rows: DataFrame, counts: dict[int, int]) -> Lexicon:
     terms = terms.where(F.col("ratio") >= LEAST_RATIO).withColumn("log_ratio", F.log("ratio"))
     best = F.desc(F.col("log_ratio") * F.sqrt("n1"))
     stem = F.endswith("term", F.lit("*"))
-    words = terms.where(~stem).orderBy(best, "term").limit(TERMS).collect()
-    stems = terms.where(stem).orderBy(best, F.length("term"), "term").limit(4 * TERMS).collect()
+    # As many as the bounded sample has.
+    words = terms.where(~stem).orderBy(best, "term").collect()
+    stems = terms.where(stem).collect()
     lexicon = Lexicon([r["term"] for r in words])
     lexicon.evidence = {r["term"]: r["log_ratio"] for r in words}
     # A stem stands for those that begin with it.
-    for row in sorted(stems, key=lambda r: len(r["term"])):
+    kept = set()
+    for row in sorted(stems, key=lambda r: (len(r["term"]), r["term"])):
         short = row["term"][:-1]
-        if not any(short.startswith(s) for s in lexicon.stems) and len(lexicon.stems) < TERMS:
+        if not any(short[:n] in kept for n in range(1, len(short))):
+            kept.add(short)
             lexicon.stems.append(short)
             lexicon.evidence[row["term"]] = row["log_ratio"]
     return lexicon
@@ -256,7 +264,6 @@ def _mine(rows: DataFrame, counts: dict[int, int]) -> Lexicon:
 @dataclass
 class Model:
     lexicon: Lexicon
-    automaton: Automaton
     weights: np.ndarray | None
     constant: float
 
@@ -270,7 +277,7 @@ class Reader:
     """Finds hits in texts and reads their contexts."""
 
     def __init__(self, model: Model):
-        automaton, evidence = model.automaton, model.lexicon.evidence
+        automaton, evidence = Automaton(model.lexicon), model.lexicon.evidence
         self.table = ChunkTable(automaton.codes, limit=300_000)
         self.hits = automaton.hits
         self.evidence = [0.0] + [
@@ -326,7 +333,7 @@ def fit(
     chosen, counts = labelled_sample(docs, labels, "toxic", modulus, held_out, sample)
     rows = materialize(chosen.select("doc_id", "label", "text"), "labelled")
     lexicon = _mine(rows, counts)
-    model = Model(lexicon, compiled(lexicon), None, (counts.get(1, 0) + 1) / (sum(counts.values()) + 2))
+    model = Model(lexicon, None, (counts.get(1, 0) + 1) / (sum(counts.values()) + 2))
     if not counts.get(0) or not counts.get(1):
         return model
     shared = rows.sparkSession.sparkContext.broadcast(model)
