@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from array import array
 
@@ -431,3 +432,57 @@ def test_html_without_an_article():
         "Title & more\nFirst paragraph with break and link text.\nSecond one.\nitem one\nitem two\n"
         "Third paragraph to read."
     )
+
+
+PROSE = "A sentence of the article with enough words in it. " * 3
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # parts of the article that only look like something else
+        ("<article><p>{p}<section id='legal'><p>Law {p}</section></article>", "{p}\nLaw {p}"),
+        ("<article><p>{p}</p><h2 id='related-work'>Related</h2><p>{p}</article>", "{p}\nRelated\n{p}"),
+        ("<article><p>{p}<p>{p}<p><a href=x>The source</a></article>", "{p}\n{p}\nThe source"),
+        ("<article><p>{p}<aside>Aside <p>a</article><p>After", "{p}"),
+        ("<div><aside>Aside</div><div><p>{p}<p>{p}</div>", "{p}\n{p}"),
+        ("<div class='content with-sidebar'><p>{p}<p>{p}</div>", "{p}\n{p}"),
+        ("<div class='post no-sidebar'><p>{p}</div><div class=sidebar>x</div>", "{p}"),
+        ("<div class='comments-off post'><p>{p}</div>", "{p}"),
+        # articles that are not the text
+        ("<article>Teaser one</article><div><p>{p}<p>{p}<p>{p}</div><article>Teaser two</article>",
+         "{p}\n{p}\n{p}"),
+        ("<div><p>{p}<p>{p}</div><article class='comment-body'><p>{p}</article>", "{p}\n{p}"),
+        ("<main><h1>Title</h1><p>{p}</p><article class=comment>Reader {p}</article></main>", "Title\n{p}"),
+        ("<main><h1>Title</h1><article><p>{p}</article><article>Teaser</article></main>", "Title\n{p}"),
+        # no marks: links between two parts
+        ("<p>{p}<p>{p}<ul><li><a>a</a><li><a>b</a><li><a>c</a><li><a>d</a></ul><p>{p}<p>{p}",
+         "{p}\n{p}\na\nb\nc\nd\n{p}\n{p}"),
+        ("<article><p>Hi.</article>", "Hi."),
+        ("<nav>x</nav>", ""),
+        ("a < b and <p>c > d", "a < b and\nc > d"),
+    ],
+)
+def test_html_cases(page, text):
+    assert html_blocks.main_text(page.format(p=PROSE.strip())) == text.format(p=PROSE.strip())
+
+
+def test_windows_choose_among_articles():
+    """Of two articles the one with more text counts; a surge outside may outweigh both."""
+    short, long = "<article><p>Short one.</article>", f"<article><p>{PROSE}</article>"
+    assert html_blocks.main_text(short + long) == PROSE.strip()
+    outside = f"<div><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>"
+    assert html_blocks.main_text(long + outside).count("\n") == 3
+    assert html_blocks.regions([0, 0, 0, 50, 60, 0, 0, 0, 0, 5, 0, 0, 0]) == [(1, 5)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<aside>a<article>b" * 50_000, "<a 'b " * 150_000, "<a b='c" * 150_000 + ">", "</div>" * 170_000,
+     "<div>" * 100_000 + "</p></x>" * 60_000, "<p>a</div>" * 100_000, "<a " * 300_000 + ">", "<!-- " * 200_000,
+     "<div class=ad>" * 70_000 + "x", "< " * 500_000, "<a b=\"c\" " * 100_000],
+)
+def test_long_pages_take_linear_time(page):
+    start = time.process_time()
+    html_blocks.main_text(page)
+    assert time.process_time() - start < 5  # a second alone; quadratic time takes minutes
