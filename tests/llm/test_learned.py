@@ -1,7 +1,11 @@
 """Learned operators by their held-out accuracy, and the pipeline by its stages."""
 
+import random
+from collections import Counter
+
 import corpus_pipeline
 import numpy as np
+import pytest
 from learnlog.llm import language_kn, quality_crf, queries
 from learnlog.llm.shared import documents, table
 from pyspark.sql import functions as F
@@ -42,8 +46,65 @@ def test_language_rejects_what_it_has_not_seen(spark):
     assert best.tolist()[2:4] == [-1, -1] and sure.tolist()[2:4] == [0, 0]
 
 
-def test_language_probabilities_sum_to_one(spark):
+def kneser_ney(texts, order, floor):
+    """Interpolated Kneser-Ney of one language, n-gram by n-gram, as a function of a tuple."""
+    counts = [Counter() for _ in range(order + 1)]
+    for text in texts:
+        symbols = language_kn.symbols_of(text).tolist()
+        counts[order].update(tuple(symbols[i : i + order]) for i in range(len(symbols) - order + 1))
+    for k in range(order - 1, 0, -1):
+        counts[k].update(gram[1:] for gram in counts[k + 1])
+
+    totals = [Counter() for _ in counts]
+    kinds = [Counter() for _ in counts]
+    for k in range(1, order + 1):
+        for gram, n in counts[k].items():
+            totals[k][gram[:-1]] += n
+            kinds[k][gram[:-1]] += 1
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return floor
+        lower, context = p(gram[1:]), gram[:-1]
+        if not totals[k][context]:
+            return lower
+        ones, twos = (sum(n == i for n in counts[k].values()) for i in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        own = max(counts[k][gram] - d, 0) / totals[k][context]
+        return own + d * kinds[k][context] / totals[k][context] * lower
+
+    return p
+
+
+def packed_of(grams):
+    return np.array([sum(c << (16 * (len(g) - 1 - i)) for i, c in enumerate(g)) for g in grams], np.uint64)
+
+
+def test_language_model_against_brute_force(spark):
+    rows = [
+        (1, "the cat sat on the mat", "en"), (2, "the dog and the cat", "en"), (3, "that that", "en"),
+        (5, "der hund und die katze", "de"), (6, "die matte der katze", "de"), (8, "und und", "de"),
+    ]
+    model = language_kn.fit(spark.createDataFrame(rows, "doc_id int, text string, lang string"), modulus=1, held_out=1)
+    texts = {lang: [t for _, t, other in rows if other == lang] for lang in ("de", "en")}
+    symbols = sorted({int(c) for _, t, _ in rows for c in language_kn.symbols_of(t)})
+    draw = random.Random(3)
+    grams = [tuple(draw.choice(symbols) for _ in range(language_kn.ORDER)) for _ in range(100)]
+    for text in ("the cat", "die katze", "that dog"):
+        own = language_kn.symbols_of(text).tolist()
+        grams += [tuple(own[i : i + 4]) for i in range(len(own) - 3)]
+    found = np.exp(model.log_p(packed_of(grams)))
+    floor = float(np.exp(model.unseen[0]))
+    for column, lang in enumerate(model.languages):
+        p = kneser_ney(texts[lang], language_kn.ORDER, floor)
+        assert np.allclose(found[:, column], [p(g) for g in grams], rtol=1e-4)
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 32_000])
+def test_language_probabilities_sum_to_one(spark, monkeypatch, cells):
     """Over all characters that may follow a context, each interpolated model sums to one."""
+    monkeypatch.setattr(language_kn, "MOST_CELLS", cells)  # the smaller leaves n-grams out
     model = language_kn.fit(documents(spark, "/root/testdata/sf0.001"))
     everything = np.unique(language_kn.symbols_of("".join(
         r.text for r in documents(spark, "/root/testdata/sf0.001").select("text").collect()
