@@ -16,6 +16,7 @@ from learnlog.operators import history, splits
 from learnlog.operators.ordered import SLICE, SliceLimits, split_heavy
 from learnlog.session import build_session
 from learnlog.sources import fixtures
+from learnlog.sources.tables import drop_tables
 
 ROWS = 12_000_000
 # No user is cut; the user with a third of the rows is, into slices of a million.
@@ -63,6 +64,7 @@ def main() -> None:
     sizes = [r["count"] for r in sliced.groupBy("user_id", SLICE).count().orderBy(F.desc("count")).collect()]
     results["slices"] = {"number": len(sizes), "largest": sizes[0], "second smallest": sizes[-2]}
     print(json.dumps(results))
+    drop_tables(spark)
     spark.stop()
 
 

@@ -7,6 +7,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from learnlog.session import build_session  # noqa: E402
+from learnlog.sources.tables import drop_tables  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,4 +22,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_tables(session)
     session.stop()

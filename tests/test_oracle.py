@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from learnlog import schemas
+from learnlog.ml import gbt, search
 from learnlog.plans import catalog
 from oracle import sql
 
@@ -60,6 +61,20 @@ def test_models_run(spark):
     assert all(by_row[i, "train"] > by_row[i, "valid"] - 0.1 for i in range(5))
 
 
+def test_searches_run(spark, monkeypatch):
+    """The registered searches, with fewer points and rounds: whole ones take minutes."""
+    monkeypatch.setattr(search, "TRIALS", 3)
+    monkeypatch.setattr(search, "RUNG_TRIALS", 4)
+    monkeypatch.setitem(gbt.PARAMS, "maxIter", search.FIRST_RUNG + 2)
+    trials = QUERIES["param_search"](spark, SF_DIR).collect()
+    assert sorted(r["trial"] for r in trials) == [0, 1, 2]
+    assert all(0 <= r["auc"] <= 1 and 1 <= r["rounds"] <= 10 for r in trials)
+    best = QUERIES["best_params"](spark, SF_DIR).collect()
+    assert [r["auc"] for r in best] == [max(r["auc"] for r in trials)]
+    rungs = QUERIES["rung_search"](spark, SF_DIR).collect()
+    assert sorted((r["rung"], r["rounds"]) for r in rungs) == [(0, 8), (0, 8), (1, 10), (2, 10)]
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.columns == ["row_id", *schemas.FEATURES, schemas.TARGET] and df.count() > 0
