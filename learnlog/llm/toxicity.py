@@ -55,6 +55,7 @@ SECOND_PERSON = frozenset(
 QUOTES = "\"“”„«»‹›"
 
 _NOT_WORD = re.compile(r"[\W_]+")
+_QUOTE = re.compile(f"[{QUOTES}]")
 _TOKEN = re.compile(rf"[^\W_]+|[{QUOTES}]")
 
 
@@ -284,12 +285,15 @@ class Reader:
             evidence[term + "*" * (kind == "stem")] / (1 + edits) for kind, term, edits in self.hits[1:]
         ]
 
-    def marks(self, text: str) -> list[tuple[int, str, bool, bool, bool, bool]]:
+    def marks(self, text: str, words: list[str], codes: np.ndarray) -> list[tuple]:
         """Each hit: code, word, quoted, negated, addressed to someone, among other hits."""
-        tokens = _TOKEN.findall(text.lower())
-        code = self.table.rows.get
-        codes = [code(t) or 0 for t in tokens]
-        found = [i for i, c in enumerate(codes) if c]
+        tokens = words
+        if _QUOTE.search(text):
+            # The same words, with the marks between them.
+            tokens = _TOKEN.findall(text.lower())
+            code = self.table.rows.get
+            codes = [0 if t in QUOTES else code(t) or 0 for t in tokens]
+        found = np.flatnonzero(codes).tolist()
         made = []
         for place, i in enumerate(found):
             before, after = tokens[max(0, i - CONTEXT) : i], tokens[i + 1 : i + 1 + CONTEXT]
@@ -300,17 +304,20 @@ class Reader:
             near = [j for j in found[max(0, place - 1) : place + 2] if j != i]
             dense = any(abs(j - i) <= CONTEXT for j in near)
             addressed = not SECOND_PERSON.isdisjoint(around)
-            made.append((codes[i], tokens[i], quoted, negated, addressed, dense))
+            made.append((int(codes[i]), tokens[i], quoted, negated, addressed, dense))
         return made
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[str]]]:
+        """The features of each text, and its distinct hits in ascending order."""
         words = [words_of(t) for t in texts]
         codes = np.array(self.table.look_up(list(chain.from_iterable(words))), np.int64)
-        x = np.zeros((len(texts), len(FEATURES)))
+        x, terms = np.zeros((len(texts), len(FEATURES))), [[] for _ in texts]
         for row, (a, b) in enumerate(spans(words)):
             if b == a or not codes[a:b].any():
                 continue
-            for code, _, quoted, negated, addressed, dense in self.marks(texts[row]):
+            marks = self.marks(texts[row], words[row], codes[a:b])
+            terms[row] = sorted({mark[1] for mark in marks})
+            for code, _, quoted, negated, addressed, dense in marks:
                 kind, _, edits = self.hits[code]
                 plain = not quoted and not negated
                 x[row] += (
@@ -321,7 +328,7 @@ class Reader:
                     x[row, -1] = max(x[row, -1], self.evidence[code])
             x[row, 7] = min(1.0, 20 * x[row, 7] / (b - a))
         x[:, :7] = np.log1p(x[:, :7])
-        return x
+        return x, terms
 
 
 def fit(
@@ -340,7 +347,7 @@ def fit(
 
     def make() -> Callable:
         reader = Reader(shared.value)
-        return lambda texts: [pa.array(reader.features(texts).tolist(), pa.list_(pa.float64()))]
+        return lambda texts: [pa.array(reader.read(texts)[0].tolist(), pa.list_(pa.float64()))]
 
     found = map_texts(rows, [("x", pa.list_(pa.float64()))], make, keep=["label"]).collect()
     found.sort(key=lambda r: (r["doc_id"], r["label"]))
@@ -364,15 +371,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         reader = Reader(known)
 
         def compute(texts: list[str | None]) -> list[pa.Array]:
-            x = reader.features(texts)
+            x, terms = reader.read(texts)
             if known.weights is None:
                 made = np.full(len(texts), known.constant)
             else:
                 made = sigmoid(x @ known.weights[:-1] + known.weights[-1])
-            terms = [
-                sorted({m[1] for m in reader.marks(t)}) if own.any() else []
-                for t, own in zip(texts, x)
-            ]
             return [pa.array(made, pa.float64()), pa.array(terms, pa.list_(pa.string()))]
 
         return compute
