@@ -34,7 +34,7 @@ from learnlog.llm.shared import ChunkTable, map_texts, small_batches
 #: Bytes of text that go into one file of records.
 SHARD_BYTES = 32 << 20
 #: Bytes of text whose distinct chunks are looked up at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # The mask of the checksums.
 ROTATION, ADDED = 15, 0xA282EAD8
