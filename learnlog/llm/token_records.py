@@ -33,6 +33,8 @@ from learnlog.llm.shared import ChunkTable, map_texts, small_batches
 
 #: Bytes of text that go into one file of records.
 SHARD_BYTES = 32 << 20
+#: Chunks that a worker keeps, some 200 bytes each.
+KEPT_CHUNKS = 400_000
 #: Bytes of text whose distinct chunks are looked up at a time.
 SLICE_BYTES = 4 << 20
 
@@ -118,7 +120,7 @@ class _Table(ChunkTable):
     """
 
     def __init__(self, tokenizer, code: str):
-        super().__init__(self._encode)
+        super().__init__(self._encode, limit=KEPT_CHUNKS)
         self.tokenizer, self.code = tokenizer, code
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(i) for i in range(256) if chr(i).isalpha()]
@@ -186,6 +188,8 @@ def _encoder(path: str, end_id: int) -> Callable[[list[str | None]], list[bytes]
         _, offsets, data = placed.buffers()
         ends = np.frombuffer(offsets, np.int32)[split.offsets.to_numpy()].tolist()
         ids = data.to_pybytes() if data else b""
+        del split, chunks, made, placed, offsets, data
+        pa.default_memory_pool().release_unused()  # else a worker holds the most it ever used
         return [ids[a:b] + end for a, b in zip(ends, ends[1:])]
 
     def whole(texts: list[str | None]) -> list[bytes]:
