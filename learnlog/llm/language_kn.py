@@ -12,10 +12,14 @@ The language with the least cross-entropy per character is chosen; how sure that
 the entropies by a curve fitted on learning documents. A text that the models together do not
 predict about as well as the learning documents of its language is rejected; together, so
 that a text that changes its language stays.
+
+Where the n-grams of the corpus are more than a task should hold, tasks hold the exact values of the
+most frequent ones, and the other n-grams of the texts meet theirs in a join (:class:`Rest`): what a
+text gets does not depend on how many n-grams a task holds.
 """
 
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 import unicodedata
 
@@ -31,7 +35,8 @@ from learnlog.sources.tables import materialize
 #: Characters of an n-gram of the highest order; each takes 16 bits of a packed n-gram.
 ORDER = 4
 #: Probabilities that a broadcast model holds for one order, at most: n-grams times languages.
-#: Beyond it the most frequent n-grams of each language stay; the others are backed off from,
+#: Beyond it the broadcast holds the most frequent n-grams, and texts are judged by way of
+#: :class:`Rest`, which holds all. A model alone, without a session, then backs off from the others,
 #: with the mass that they have in the totals.
 MOST_CELLS = 8_000_000
 #: Learning documents of each language that the curve and the limits are fitted on, at most.
@@ -39,6 +44,8 @@ CALIBRATION = 500
 #: Distinct n-grams that a counting task gathers before it passes them on.
 HELD_GRAMS = 1_000_000
 UNKNOWN = "und"
+#: What equal texts share: their hash, under a name that no column of documents has.
+KEY = "__text_key"
 SPACE = 32
 
 
@@ -188,6 +195,22 @@ class Level:
     log_back: np.ndarray
 
 
+@dataclass
+class Rest:
+    """All n-grams of a corpus that has more than a broadcast model holds, as tables.
+
+    For each order, from the lowest: ``gram`` with ``shares``, what it has of the total of its
+    context, and ``context`` with ``weights``, what is left for the order below; both by the place
+    of the language. ``grams`` and ``values`` are the most frequent n-grams of the highest order
+    with their exact log-probabilities, a column for each language and one for the mixture.
+    """
+
+    shares: list[DataFrame]
+    weights: list[DataFrame]
+    grams: SortedHashes
+    values: np.ndarray
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -197,6 +220,7 @@ class Model:
     expected: np.ndarray  # mean cross-entropy of the mixture, by language of the text
     spread: np.ndarray  # deviation of that cross-entropy for one character
     limit: float  # deviations above the mean from which a text is rejected
+    rest: Rest | None = field(default=None, repr=False)  # set if ``levels`` lack n-grams
 
     def log_p(self, packed: np.ndarray) -> np.ndarray:
         """Log-probability of the last character of each n-gram after the others."""
@@ -232,9 +256,14 @@ class Model:
 
     def judge(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language (-1 without a letter), its probability, and whether it is rejected."""
-        entropy, counts = self.entropies(texts)
+        return self.decide(*self.entropies(texts))
+
+    def decide(
+        self, entropy: np.ndarray, counts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`judge`, from cross-entropies and numbers of characters."""
         if not self.languages:
-            return np.full(len(texts), -1), np.zeros(len(texts)), np.ones(len(texts), bool)
+            return np.full(len(counts), -1), np.zeros(len(counts)), np.ones(len(counts), bool)
         mixture, entropy = entropy[:, -1], entropy[:, :-1]
         best = entropy.argmin(axis=1)
         sure = sigmoid(_sureness(entropy, counts) @ self.curve[:-1] + self.curve[-1])
@@ -268,9 +297,10 @@ def _orders(counts: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def _kept(level: DataFrame, most: int) -> DataFrame:
+def _kept(level: DataFrame, most: int) -> tuple[DataFrame, bool]:
     """The ``most`` n-grams of each language, fewer where the last ones tie in number, with
-    ``total``: the sum over all n-grams of their context, also those that are left out."""
+    ``total``: the sum over all n-grams of their context, also those that are left out. And
+    whether any is left out."""
     sizes = level.groupBy("lang", "n").agg(F.count("*").alias("grams")).collect()
     least: dict[str, int] = {}
     for lang in {r["lang"] for r in sizes}:
@@ -284,7 +314,12 @@ def _kept(level: DataFrame, most: int) -> DataFrame:
     totals = level.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("total"))
     for lang, n in least.items():
         level = level.where((F.col("lang") != lang) | (F.col("n") >= n))
-    return level.withColumn("context", context).join(totals, ["lang", "context"]).drop("context")
+    kept = level.withColumn("context", context).join(totals, ["lang", "context"]).drop("context")
+    return kept, bool(least)
+
+
+def _discount(ones: int, twos: int) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
 
 
 def _build(languages: list[str], tables: list[dict], characters: int) -> tuple[list[Level], np.ndarray]:
@@ -304,7 +339,7 @@ def _build(languages: list[str], tables: list[dict], characters: int) -> tuple[l
         context_of = np.searchsorted(all_contexts, all_grams >> np.uint64(16))
         for column, lang in enumerate(languages):
             grams, n, totals, (ones, twos) = table[lang]
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            discount = _discount(ones, twos)
             context = np.searchsorted(all_contexts, grams >> np.uint64(16))
             own = np.maximum(n - discount, 0)
             total = np.ones(len(all_contexts))
@@ -347,8 +382,9 @@ def fit(
         none = np.zeros(0)
         return Model([], [], none, np.zeros(3), none, none, 0.0)
     most = max(1000, MOST_CELLS // len(languages) ** 2)
-    tables, characters = [], 1
-    for level in _orders(counts):
+    tables, characters, short = [], 1, False
+    orders = _orders(counts)
+    for level in orders:
         ones = {
             r["lang"]: (r["ones"], r["twos"])
             for r in level.groupBy("lang")
@@ -358,7 +394,8 @@ def fit(
             )
             .collect()
         }
-        rows = _kept(level, most).toArrow()
+        kept, cut = _kept(level, most)
+        rows, short = kept.toArrow(), short or cut
         lang = rows.column("lang").to_pandas().to_numpy()
         gram = rows.column("gram").to_numpy().view(np.uint64)
         n = rows.column("n").to_numpy().astype(np.float64)
@@ -369,14 +406,157 @@ def fit(
             own = own[np.argsort(gram[own])]
             table[name] = (gram[own], n[own], total[own], ones[name])
         if not tables:
-            characters = len(np.unique(gram))
+            characters = level.select("gram").distinct().count() if cut else len(np.unique(gram))
         tables.append(table)
     levels, unseen = _build(languages, tables, characters)
     flat = np.ones(len(languages))
     model = Model(languages, levels, unseen, np.array([4.0, 1.0, 0.0]), 0 * flat, flat, np.inf)
+    if short:
+        discounts = [{lang: _discount(*t[lang][3]) for lang in languages} for t in tables]
+        model.rest = _rest(model, orders, discounts)
     return _calibrated(model, learned, calibration, spark)
 
 
+def _mask(order: int) -> int:
+    return (1 << (16 * order)) - 1
+
+
+def _rest(model: Model, orders: list[DataFrame], discounts: list[dict[str, float]]) -> Rest:
+    """Tables of all n-grams, from their numbers and the discounts of each order."""
+    spark = orders[0].sparkSession
+    shares, weights = [], []
+    for level, discount in zip(orders, discounts):
+        places = [(lang, i, discount[lang]) for i, lang in enumerate(model.languages)]
+        places = spark.createDataFrame(places, "lang string, place int, discount double")
+        rows = level.join(F.broadcast(places), "lang").select(
+            "place",
+            "gram",
+            F.shiftrightunsigned("gram", 16).alias("context"),
+            "n",
+            F.expr("greatest(n - discount, 0D) as own"),
+        )
+        sums = rows.groupBy("place", "context").agg(
+            F.sum("n").alias("total"), F.sum("own").alias("kept")
+        )
+        left = F.expr("map_from_entries(collect_list(struct(place, (total - kept) / total)))")
+        held = F.expr("map_from_entries(collect_list(struct(place, own / total)))")
+        weights.append(materialize(sums.groupBy("context").agg(left.alias("weights")), "weights"))
+        rows = rows.join(sums, ["place", "context"])
+        shares.append(materialize(rows.groupBy("gram").agg(held.alias("shares")), "shares"))
+    frequent = orders[-1].groupBy("gram").agg(F.sum("n").alias("n"))
+    sizes = frequent.groupBy("n").agg(F.count("*").alias("grams")).collect()
+    least, room = 1, max(1000, MOST_CELLS // (len(model.languages) + 1))
+    for n, grams in sorted(map(tuple, sizes), reverse=True):
+        room -= grams
+        if room < 0:
+            least = n + 1
+            break
+    rest = Rest(shares, weights, SortedHashes(np.zeros(0, np.uint64)), np.zeros((0, 0)))
+    rows = _values(replace(model, rest=rest), frequent.where(F.col("n") >= least)).toArrow()
+    hashes = spread(rows.column("gram").to_numpy().view(np.uint64))
+    by = np.argsort(hashes)
+    values = rows.column("value").combine_chunks().flatten().to_numpy()
+    values = values.reshape(len(by), len(model.languages) + 1)[by]
+    return replace(rest, grams=SortedHashes(hashes[by]), values=values)
+
+
+def _values(model: Model, wanted: DataFrame) -> DataFrame:
+    """Distinct n-grams of the highest order, seen or not, with their log-probabilities in
+    ``value``: an entry for each language and one for the mixture. Orders are joined from the lowest."""
+    rest = model.rest
+    needed = [wanted.select("gram").distinct()]
+    for order in range(ORDER - 1, 0, -1):
+        needed.insert(0, needed[0].selectExpr(f"gram & {_mask(order)}L as gram").distinct())
+    below = None
+    for order, (grams, shares, weights) in enumerate(zip(needed, rest.shares, rest.weights), 1):
+        rows = grams.withColumn("context", F.shiftrightunsigned("gram", 16))
+        if below is None:
+            floor = [float(p) for p in np.exp(model.unseen)]
+            rows = rows.withColumn("below", F.array(*map(F.lit, floor)))
+        else:
+            lower = F.expr(f"gram & {_mask(order - 1)}L")
+            rows = rows.withColumn("lower", lower).join(below, "lower")
+        rows = rows.join(shares, "gram", "left").join(weights, "context", "left")
+        p = F.expr(
+            "transform(below, (p, i) -> coalesce(try_element_at(weights, i), 1D) * p"
+            " + coalesce(try_element_at(shares, i), 0D))"
+        )
+        below = rows.select(F.col("gram").alias("lower"), p.alias("below"))
+    mixture = "aggregate(below, 0D, (a, p) -> a + p) / size(below)"
+    return below.selectExpr(
+        "lower as gram", f"transform(concat(below, array({mixture})), p -> ln(p)) as value"
+    )
+
+
+def _text_key():
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias(KEY)
+
+
+def _text_entropies(docs: DataFrame, model: Model) -> DataFrame:
+    """For each distinct text its ``KEY``, the cross-entropies of :meth:`Model.entropies` and the
+    characters as ``size``, with all n-grams: tasks add up the values that they hold and pass on
+    the other n-grams, which meet their values in a join."""
+    width = len(model.languages) + 1
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((model.rest.grams, model.rest.values))
+
+    def make() -> Callable:
+        frequent, values = shared.value
+
+        def compute(texts: list[str | None]) -> list[pa.Array]:
+            sizes, sums, others, numbers = [], [], [], []
+            for text in texts:
+                packed, counts = packed_grams([text])
+                grams, n = np.unique(packed, return_counts=True)
+                place = frequent.find(spread(grams))
+                held = place >= 0
+                sizes.append(int(counts[0]))
+                sums.append((n[held] @ values[place[held]]).tolist() if held.any() else [0.0] * width)
+                others.append(grams[~held].view(np.int64).tolist())
+                numbers.append(n[~held].tolist())
+            return [
+                pa.array(sizes, pa.int64()),
+                pa.array(sums, pa.list_(pa.float64())),
+                pa.array(others, pa.list_(pa.int64())),
+                pa.array(numbers, pa.list_(pa.int64())),
+            ]
+
+        return compute
+
+    fields = [
+        ("size", pa.int64()), ("sums", pa.list_(pa.float64())),
+        ("others", pa.list_(pa.int64())), ("numbers", pa.list_(pa.int64())),
+    ]
+    texts = map_texts(docs.select(_text_key(), "text"), fields, make, key=KEY)
+    texts = materialize(texts, "text-grams")
+    # Copies of a text have the same rows: one of them counts.
+    whole = texts.groupBy(KEY).agg(F.first("size").alias("size"), F.first("sums").alias("sums"))
+    single = texts.select(KEY, F.explode(F.arrays_zip("others", "numbers")).alias("other"))
+    single = single.groupBy(KEY, F.col("other.others").alias("gram"))
+    single = single.agg(F.first("other.numbers").alias("n"))
+    added = single.join(_values(model, single), "gram").groupBy(KEY)
+    added = added.agg(F.array(*[F.expr(f"sum(n * value[{i}])") for i in range(width)]).alias("added"))
+    entropy = "transform(sums, (s, i) -> -(s + coalesce(added[i], 0D)) / greatest(size, 1))"
+    return whole.join(added, KEY, "left").selectExpr(KEY, f"{entropy} as entropy", "size")
+
+
+def _judged(docs: DataFrame, model: Model) -> DataFrame:
+    """The judgement of each distinct text by all n-grams: ``KEY`` and the columns of :func:`identify`."""
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, levels=[], rest=None))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entropy = batch.column("entropy").flatten().to_numpy(zero_copy_only=False)
+            entropy = entropy.reshape(batch.num_rows, len(shared.value.languages) + 1)
+            sizes = batch.column("size").to_numpy(zero_copy_only=False)
+            made = _columns(shared.value, shared.value.decide(entropy, sizes))
+            names = [KEY, *(name for name, _ in JUDGED)]
+            yield pa.RecordBatch.from_arrays([batch.column(KEY), *made], names=names)
+
+    schema = f"`{KEY}` binary, lang_pred string, score double, rejected boolean"
+    return _text_entropies(docs, model).mapInArrow(run, schema)
+
+
 def _calibrated(model: Model, learned: DataFrame, most: int, spark) -> Model:
     ids = learned.select("doc_id", "lang").withColumn("draw", F.xxhash64("doc_id"))
     chosen = None
@@ -384,6 +564,10 @@ def _calibrated(model: Model, learned: DataFrame, most: int, spark) -> Model:
         own = ids.where(F.col("lang") == lang).orderBy("draw", "doc_id").limit(most)
         chosen = own if chosen is None else chosen.unionByName(own)
     sample = learned.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    if model.rest:
+        sample = materialize(sample, "calibration")
+        rows = sample.select("lang", _text_key()).join(_text_entropies(sample, model), KEY)
+        return _fitted(model, rows.where("size > 0").collect())
     shared = spark.sparkContext.broadcast(model)
 
     def make() -> Callable:
@@ -394,7 +578,12 @@ def _calibrated(model: Model, learned: DataFrame, most: int, spark) -> Model:
         return compute
 
     fields = [("entropy", pa.list_(pa.float64())), ("size", pa.int64())]
-    rows = map_texts(sample, fields, make, keep=["lang"]).where("size > 0").collect()
+    rows = map_texts(sample, fields, make, keep=["lang"])
+    return _fitted(model, rows.where("size > 0").collect())
+
+
+def _fitted(model: Model, rows: list) -> Model:
+    """The model with curve, expectations and limit from ``lang``, ``entropy`` and ``size``."""
     if not rows:
         return model
     entropy = np.array([r["entropy"] for r in rows])
@@ -418,7 +607,17 @@ def _calibrated(model: Model, learned: DataFrame, most: int, spark) -> Model:
 
 
 def _shared(model: Model, docs: DataFrame):
-    return docs.sparkSession.sparkContext.broadcast(model)
+    return docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
+
+
+JUDGED = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
+
+
+def _columns(model: Model, judgement: tuple) -> list[pa.Array]:
+    names = [*model.languages, UNKNOWN]
+    best, sure, rejected = judgement
+    made = [[names[i] for i in best], sure, rejected]
+    return [pa.array(values, kind) for values, (_, kind) in zip(made, JUDGED)]
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -428,22 +627,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     predict a text equally well the first in order of names is taken. Repeated rows
     stay rows of their own; other columns are not read.
     """
+    if model.rest:
+        rows = docs.select("doc_id", _text_key()).join(_judged(docs, model), KEY)
+        return rows.select("doc_id", *(name for name, _ in JUDGED))
     shared = _shared(model, docs)
 
     def make() -> Callable:
         def compute(texts: list[str | None]) -> list[pa.Array]:
-            names = [*shared.value.languages, UNKNOWN]
-            best, sure, rejected = shared.value.judge(texts)
-            return [
-                pa.array([names[i] for i in best], pa.string()),
-                pa.array(sure, pa.float64()),
-                pa.array(rejected, pa.bool_()),
-            ]
+            return _columns(shared.value, shared.value.judge(texts))
 
         return compute
 
-    fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
-    return map_texts(docs, fields, make)
+    return map_texts(docs, JUDGED, make)
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:

@@ -118,6 +118,51 @@ def test_language_probabilities_sum_to_one(spark, monkeypatch, cells):
     assert ((total > 0.97) & (total < 1.001)).all(), total
 
 
+@pytest.mark.parametrize("cells", [32_000, 0])
+def test_language_without_room_for_its_ngrams(spark, monkeypatch, odd, cells):
+    """What a text gets does not depend on how many n-grams the tasks hold."""
+    docs = documents(spark, "/root/testdata/sf0.001")
+    both = docs.select("doc_id", "text", "lang").unionByName(odd.select("doc_id", "text", "lang"))
+
+    def judged():
+        model = language_kn.fit(docs)
+        rows = language_kn.identify(both, model).collect()
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.score)
+        return model, sorted(rows, key=key)
+
+    whole, expected = judged()
+    monkeypatch.setattr(language_kn, "MOST_CELLS", cells)
+    model, rows = judged()
+    assert whole.rest is None and len(model.levels[-1].grams.hashes) < len(whole.levels[-1].grams.hashes)
+    assert [(r.doc_id, r.lang_pred, r.rejected) for r in rows] == [
+        (r.doc_id, r.lang_pred, r.rejected) for r in expected
+    ]
+    assert np.allclose([r.score for r in rows], [r.score for r in expected], atol=1e-5)
+    for fitted in ("curve", "expected", "spread", "limit"):
+        assert np.allclose(getattr(model, fitted), getattr(whole, fitted), rtol=1e-3), fitted
+
+
+def test_language_tables_against_brute_force(spark, monkeypatch):
+    """The joined values of n-grams, seen or not, in languages that lack some or all of them."""
+    texts = {"de": ["der hund und die katze", "und und"], "en": ["the cat sat on the mat", "the dog"]}
+    rows = [(i, text, lang) for lang, own in texts.items() for i, text in enumerate(own)]
+    monkeypatch.setattr(language_kn, "_kept", lambda level, most, kept=language_kn._kept: kept(level, 3))
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language_kn.fit(docs, modulus=1, held_out=1)
+    symbols = sorted({int(c) for own in texts.values() for t in own for c in language_kn.symbols_of(t)})
+    draw = random.Random(4)
+    grams = [tuple(draw.choice(symbols) for _ in range(language_kn.ORDER)) for _ in range(50)]
+    own = language_kn.symbols_of("the cat und der hund").tolist()
+    grams = sorted({*grams, *(tuple(own[i : i + 4]) for i in range(len(own) - 3))})
+    packed = packed_of(grams).view(np.int64).tolist()
+    wanted = spark.createDataFrame([(g,) for g in packed], "gram bigint")
+    found = {r.gram: r.value for r in language_kn._values(model, wanted).collect()}
+    floor = 1 / (len(symbols) + 1)
+    p = np.array([[kneser_ney(own, language_kn.ORDER, floor)(g) for own in texts.values()] for g in grams])
+    p = np.column_stack([p, p.mean(axis=1)])
+    assert np.allclose(np.exp([found[g] for g in packed]), p, rtol=1e-9)
+
+
 def test_marginals_by_enumeration():
     """Forward-backward of short chains against the sum over all label sequences."""
     from itertools import product
