@@ -643,5 +643,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose texts are not rejected."""
+    if model.rest:
+        known = _judged(docs, model).where("not rejected").select(KEY)
+        return docs.select("*", _text_key()).join(known, KEY, "left_semi").drop(KEY)
     shared = _shared(model, docs)
     return filter_texts(docs, lambda: lambda texts: (~shared.value.judge(texts)[2]).tolist())

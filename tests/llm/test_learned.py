@@ -142,6 +142,28 @@ def test_language_without_room_for_its_ngrams(spark, monkeypatch, odd, cells):
         assert np.allclose(getattr(model, fitted), getattr(whole, fitted), rtol=1e-3), fitted
 
 
+def test_pipeline_keeps_the_same_languages_without_room(spark, monkeypatch, odd):
+    """The language stage keeps the same rows, with copies and all columns, whatever tasks hold."""
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", "text", "lang")
+    strange = [(-i, text, "en") for i, text in enumerate(["qwrtzp xkcd vvvv " * 20, "это русский текст", "12"], 1)]
+    docs = docs.unionByName(odd.select("doc_id", "text", "lang"))
+    docs = docs.unionByName(spark.createDataFrame(strange, docs.schema)).withColumn("rejected", F.lit(7))
+
+    def kept():
+        rows = corpus_pipeline.language(spark, docs, SF)
+        assert rows.columns == docs.columns
+        return sorted(map(repr, rows.collect()))
+
+    expected = kept()
+    assert 0 < len(expected) < docs.count()
+    asked = []
+    single = language_kn._values
+    monkeypatch.setattr(language_kn, "MOST_CELLS", 0)
+    monkeypatch.setattr(language_kn, "_values", lambda m, w: asked.append(w) or single(m, w))
+    assert kept() == expected
+    assert len(asked) == 3  # the n-grams that tasks hold, the calibration, and the stage itself
+
+
 def test_language_tables_against_brute_force(spark, monkeypatch):
     """The joined values of n-grams, seen or not, in languages that lack some or all of them."""
     texts = {"de": ["der hund und die katze", "und und"], "en": ["the cat sat on the mat", "the dog"]}
