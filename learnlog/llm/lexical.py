@@ -9,9 +9,11 @@ strata of a segment in the order of their bounds and stops where a bound is belo
 best score so far.
 
 A task of a scan makes its segments by itself and no text is shuffled. A stratum that holds a
-third of all documents is spread over all segments.
+third of all documents is spread over all segments. A segment is written and read by itself, so what
+a task holds does not grow with the segments that it makes or visits.
 """
 
+import itertools
 import math
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -51,6 +53,14 @@ _SEGMENT = [
     "ids", "known", "stratum_m", "stratum_ends", "terms", "df", "group_ends", "group_stratum",
     "group_count", "group_posting_ends", "postings",
 ]
+#: How segments are written, a row group for each: Parquet's writer would gather at least 100 rows and its
+#: reader hold them together. Dictionaries and statistics would keep whole values, the latter to the file's end.
+_STORED = {
+    "compression": "zstd",
+    "parquet.block.row.count.limit": 1,
+    "parquet.enable.dictionary": "false",
+    "parquet.column.statistics.enabled": "false",
+}
 
 
 def terms_of(text: bytes) -> Iterator[list[bytes]]:
@@ -113,8 +123,8 @@ class _Segment:
     """The documents of a segment while a task reads them."""
 
     def __init__(self):
-        self.index = defaultdict()
-        self.index.default_factory = self.index.__len__
+        # Numbers in order of arrival; a factory that refers to the index would keep it from being freed.
+        self.index = defaultdict(itertools.count().__next__)
         self.ids, self.lengths, self.distinct, self.size = [], [], [], 0
         self.terms, self.counts = [], []
 
@@ -198,7 +208,7 @@ def build(docs: DataFrame, folder: str) -> Index:
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     made = rows.mapInArrow(run, ", ".join(f"{name} binary" for name in _SEGMENT))
-    made.write.option("compression", "zstd").parquet(f"{folder}/segments")
+    made.write.options(**_STORED).parquet(f"{folder}/segments")
     stats = docs.sparkSession.createDataFrame([(n_docs, n_terms)], "n_docs bigint, n_terms bigint")
     stats.coalesce(1).write.parquet(f"{folder}/stats")
     return Index(folder, n_docs, n_terms)
@@ -225,9 +235,9 @@ def query_terms(queries: DataFrame, key: str = "item_id") -> DataFrame:
 
 
 class _Open:
-    """What a segment holds of the terms of some queries."""
+    """What a segment holds of the terms of some queries: a row of the index, its columns as buffers."""
 
-    def __init__(self, row: dict[str, bytes], numbers: dict[bytes, int]):
+    def __init__(self, row: dict[str, pa.Buffer], numbers: dict[bytes, int]):
         kinds = {"ids": "<i8", "stratum_m": "<i8", "known": "u1"}
         a = {k: np.frombuffer(v, kinds.get(k, "<i4")) for k, v in row.items() if k != "terms"}
         self.ids, self.unknown = a["ids"], a["known"] == 0
@@ -235,7 +245,7 @@ class _Open:
         self.strata = len(m)
         self.starts = np.append(0, a["stratum_ends"])
         self.terms = {}
-        for at, term in enumerate(row["terms"].split(b" ")):
+        for at, term in enumerate(bytes(row["terms"]).split(b" ")):
             number = numbers.get(term)
             if number is None:
                 continue
@@ -360,7 +370,8 @@ def _candidates(index: Index, spark: SparkSession, items: list, key, top: int) -
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(top) for _ in plans.value]
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_buffer() for name in _SEGMENT}
                 segment = _Open(row, sent.value)
                 for query, found in zip(plans.value, best):
                     visit(segment, query, found)

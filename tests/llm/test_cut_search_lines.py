@@ -1,12 +1,15 @@
 """Fill-in-middle, lexical search and line deduplication against brute force and SQL."""
 
+import gc
 import hashlib
 import math
 import random
 import re
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from compare import connect, mismatch
 from learnlog.llm import fill_in_middle, lexical, line_dedup, oracle, queries
@@ -204,6 +207,26 @@ def test_index_of_strata(spark, small_segments):
     assert found == {i: c for i, c in counts.items() if c}
 
 
+def test_segments_do_not_pile_up(spark, small_segments):
+    """A segment is a row group by itself, whose footer holds no values, and is freed when it is written."""
+    rows = spark.createDataFrame(zipf_docs(500, 3), "doc_id bigint, text string").coalesce(1)
+    index = lexical.build(rows, new_folder(spark, "lexical"))
+    files = index.segments(spark, "ids").inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(i) for f in files
+              for i in range(pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups)]
+    assert len(groups) > 10 and all(g.num_rows == 1 for g in groups)
+    assert not any(g.column(i).is_stats_set for g in groups for i in range(g.num_columns))
+    segment, word = lexical._Segment(), type("Word", (), {})()
+    assert [segment.index[w] for w in (b"a", word, b"a")] == [0, 1, 0]
+    left = weakref.ref(word)
+    gc.disable()
+    try:
+        del segment, word
+        assert left() is None
+    finally:
+        gc.enable()
+
+
 def test_bounds_skip_strata():
     """Strata whose bound is below the last place are not visited."""
     segment = lexical._Segment()
